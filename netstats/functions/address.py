@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,16 +13,19 @@ _GROUPS = r"[0-9a-f]{1,4}(?::[0-9a-f]{1,4})*"
 _IPV6 = rf"^(?:{_GROUPS})?(?:::(?:{_GROUPS})?)?$"
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is computed once and may be used many times."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _quad_to_groups(text: Column) -> Column:
     """Rewrite a trailing dotted quad of an IPv6 text as two hex groups."""
     quad = F.regexp_extract(text, rf":({_IPV4})$", 1)
     pairs = F.transform(
-        F.split(quad, r"\."), lambda octet: F.lpad(F.hex(octet.cast("bigint")), 2, "0")
+        F.split(quad, r"\."), lambda octet: F.lpad(F.hex(octet.try_cast("bigint")), 2, "0")
     )
-    hexed = F.lower(F.array_join(pairs, ""))
-    groups = F.concat(F.substring(hexed, 1, 4), F.lit(":"), F.substring(hexed, 5, 4))
-    rest = F.regexp_replace(text, rf"(?<=:){_IPV4}$", "")
-    return F.when(quad != "", F.concat(rest, groups)).otherwise(text)
+    groups = F.regexp_replace(F.lower(F.array_join(pairs, "")), "^(.{4})", "$1:")
+    return F.concat(F.regexp_replace(text, rf"(?<=:){_IPV4}$", ""), groups)
 
 
 def _groups(text: Column) -> Column:
@@ -29,15 +34,22 @@ def _groups(text: Column) -> Column:
     )
 
 
+def _expand(text: Column) -> Column:
+    """Eight full groups, with the zeros that '::' stands for; NULL if they do not add up."""
+    halves = F.transform(F.split(text, "::"), _groups)
+    given = F.size(F.flatten(halves))
+    left, right = F.get(halves, F.lit(0)), F.get(halves, F.lit(1))
+    filled = F.concat(left, F.array_repeat(F.lit("0000"), 8 - given), right)
+    return (
+        F.when(~text.rlike(_IPV6), F.lit(None))
+        .when((F.size(halves) == 2) & (given < 8), F.array_join(filled, ":"))
+        .when((F.size(halves) == 1) & (given == 8), F.array_join(left, ":"))
+    )
+
+
 def _ipv6(ip: Column) -> Column:
-    text = _quad_to_groups(F.lower(ip))
-    halves = F.split(text, "::")
-    left = _groups(F.get(halves, F.lit(0)))
-    right = F.coalesce(_groups(F.get(halves, F.lit(1))), F.array().cast("array<string>"))
-    missing = F.lit(8) - F.size(left) - F.size(right)
-    full = F.concat(left, F.array_repeat(F.lit("0000"), missing), right)
-    complete = F.when(F.contains(text, F.lit("::")), missing >= 1).otherwise(missing == 0)
-    return F.when(text.rlike(_IPV6) & complete, F.array_join(full, ":"))
+    plain = F.when(F.contains(ip, F.lit(".")), _quad_to_groups(F.lower(ip))).otherwise(F.lower(ip))
+    return _let(plain, _expand)
 
 
 def parse_ip(ip: Column) -> Column:

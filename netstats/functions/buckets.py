@@ -2,32 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Eight bucket centres 10^0, 10^0.5 ... 10^3.5 with edges a quarter
-# decade to each side.
+# decade to each side. The first bucket is reported as starting at 0, though values
+# below its edge are in no bucket.
 CENTRES = [i * 0.5 for i in range(8)]
 EDGES = [(10.0 ** (x - 0.25), 10.0 ** (x + 0.25)) for x in CENTRES]
 
 
-def in_bucket(mbps: Column, bucket: int) -> Column:
+def in_bucket(value: str, bucket: int) -> str:
+    """SQL condition: left-closed, right-open."""
     low, high = EDGES[bucket]
-    return (mbps >= low) & (mbps < high)
-
-
-def label(bucket: int) -> Column:
-    """Reported lower edge; the first bucket is reported as starting at 0."""
-    return F.lit(0.0 if bucket == 0 else EDGES[bucket][0])
-
-
-def upper(bucket: int) -> Column:
-    return F.lit(EDGES[bucket][1])
-
-
-def bucket_of(mbps: Column) -> Column:
-    """Bucket index of a value, NULL outside all buckets."""
-    out = F.lit(None).cast("int")
-    for i in range(len(EDGES)):
-        out = F.when(in_bucket(mbps, i), i).otherwise(out)
-    return out
+    return f"{value} >= {low!r}D AND {value} < {high!r}D"

@@ -1,24 +1,25 @@
-"""Rounding, means and ratios with the output's conventions."""
+"""Rounding, means and ratios with the output's conventions, as SQL expression texts."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
+def quoted(name: str) -> str:
+    return f"`{name}`"
 
-def steady_round(value: Column, digits: int) -> Column:
+
+def steady_round(value: str, digits: int) -> str:
     """Round half up, after removing the noise of floating-point summation.
 
     A mean depends in its last bits on the order in which partitions are merged.
     Without the first rounding an exact tie such as 12.3425 could go either way.
     """
-    return F.round(F.round(value, 9), digits)
+    return f"round(round({value}, 9), {digits})"
 
 
-def log_mean(value: Column) -> Column:
+def log_mean(value: str) -> str:
     """Geometric mean; values of zero or less are ignored."""
-    return F.pow(F.lit(10.0), F.avg(F.log10(F.when(value > 0, value))))
+    return f"pow(10D, avg(CASE WHEN {value} > 0 THEN log10({value}) END))"
 
 
-def share(condition: Column, of: Column) -> Column:
-    return steady_round(F.try_divide(F.count_if(condition), of), 3)
+def share(condition: str, of: str) -> str:
+    return steady_round(f"try_divide(count_if({condition}), {of})", 3)

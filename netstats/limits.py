@@ -15,8 +15,8 @@ class Limits:
     salts              pieces a hot join key is cut into when its lookup is not broadcast
     """
 
-    tests_per_group: int = 200_000
-    samples_per_group: int = 2_000_000
+    tests_per_group: int = 1_000_000
+    samples_per_group: int = 1_000_000
     broadcast_rows: int = 500_000
     salts: int = 64
 

@@ -42,9 +42,9 @@ def quantile_arrays(picks: Mapping[str, Quantile]) -> tuple[list[Column], list[C
 
 
 def spread_quantiles(
-    rows: DataFrame, keys: Sequence[str], picks: Mapping[str, Quantile], digits: int
+    rows: DataFrame, keys: Sequence[str], picks: Mapping[str, Quantile], digits: Mapping[str, int]
 ) -> DataFrame:
-    """Quantiles rounded to `digits`, for groups too large for one aggregate buffer.
+    """Quantiles rounded to the `digits` of their series, for groups too large for one aggregate buffer.
 
     Rounding keeps order, so quantiles can be read from a count of rounded values.
     Values are part of the shuffle key, which spreads a hot group evenly; what is
@@ -53,7 +53,7 @@ def spread_quantiles(
     """
     series = sorted({p.series for p in picks.values()})
     values = F.array(
-        *[F.struct(F.lit(s).alias("series"), F.round(s, digits).alias("value")) for s in series]
+        *[F.struct(F.lit(s).alias("series"), F.round(s, digits[s]).alias("value")) for s in series]
     )
     counted = (
         rows.select(*keys, F.inline(values))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from netstats.functions import buckets
-from netstats.functions.numbers import log_mean, steady_round
+from netstats.functions.numbers import log_mean, quoted, steady_round
 from netstats.operators.quantiles import Quantile, quantile_arrays, spread_quantiles
 from netstats.schema import BUCKET_COLUMNS, DIRECTIONS, daily_columns
 
@@ -17,37 +17,34 @@ from netstats.schema import BUCKET_COLUMNS, DIRECTIONS, daily_columns
 QUARTILES = {"published": (24, 49, 74), "documented": (25, 50, 75)}
 
 
-def _series(short: str) -> list[Column]:
+def _series(short: str) -> list[str]:
     """Values of one direction, NULL on rows of the other and on undrawn rows."""
-    first = (F.col("direction") == short) & F.col("is_first")
-    second = (F.col("direction") == short) & F.col("is_second")
+    first = f"direction = '{short}' AND is_first"
+    second = f"direction = '{short}' AND is_second"
     return [
-        F.when(first, F.col("mbps")).alias(f"{short}_mbps1"),
-        F.when(second, F.col("mbps")).alias(f"{short}_mbps2"),
-        F.when(first, F.col("MinRTT")).alias(f"{short}_rtt1"),
-        F.when(second, F.col("MinRTT")).alias(f"{short}_rtt2"),
-        first.alias(f"{short}_first"),
+        f"{first} AS {short}_first",
+        f"CASE WHEN {first} THEN mbps END AS {short}_mbps1",
+        f"CASE WHEN {second} THEN mbps END AS {short}_mbps2",
+        f"CASE WHEN {first} THEN MinRTT END AS {short}_rtt1",
+        f"CASE WHEN {second} THEN MinRTT END AS {short}_rtt2",
     ]
 
 
 def _plain_aggregates(short: str) -> list[Column]:
-    long = DIRECTIONS[short]
-    mbps = F.col(f"{short}_mbps1")
-    counts = [
-        F.count_if(buckets.in_bucket(mbps, i)).alias(f"_{short}_bucket{i}")
-        for i in range(len(buckets.EDGES))
-    ]
-    return [
-        F.count_if(f"{short}_first").alias(f"{short}_samples_day"),
-        log_mean(mbps).alias(f"{short}_LOG_AVG_rnd1"),
-        log_mean(F.col(f"{short}_mbps2")).alias(f"{short}_LOG_AVG_rnd2"),
-        log_mean(F.col(f"{short}_rtt1")).alias(f"{short}_minRTT_LOG_AVG_rnd1"),
-        log_mean(F.col(f"{short}_rtt2")).alias(f"{short}_minRTT_LOG_AVG_rnd2"),
-        F.min(mbps).alias(f"{long}_MIN"),
-        F.avg(mbps).alias(f"{long}_AVG"),
-        F.max(mbps).alias(f"{long}_MAX"),
-        *counts,
-    ]
+    long, mbps = DIRECTIONS[short], f"{short}_mbps1"
+    named = {
+        f"{short}_samples_day": f"count_if({short}_first)",
+        f"{short}_LOG_AVG_rnd1": log_mean(mbps),
+        f"{short}_LOG_AVG_rnd2": log_mean(f"{short}_mbps2"),
+        f"{short}_minRTT_LOG_AVG_rnd1": log_mean(f"{short}_rtt1"),
+        f"{short}_minRTT_LOG_AVG_rnd2": log_mean(f"{short}_rtt2"),
+        f"{long}_MIN": f"min({mbps})",
+        f"{long}_AVG": f"avg({mbps})",
+        f"{long}_MAX": f"max({mbps})",
+    }
+    for i in range(len(buckets.EDGES)):
+        named[f"_{short}_bucket{i}"] = f"count_if({buckets.in_bucket(mbps, i)})"
+    return [F.expr(f"{text} AS {name}") for name, text in named.items()]
 
 
 def _quantiles(short: str, quartiles: str) -> dict[str, Quantile]:
@@ -71,39 +68,46 @@ def daily_statistics(
     aggregate, for geographies with very many samples.
     """
     by = ["date", *keys]
-    rows = drawn.select(*by, *_series("dl"), *_series("ul"))
+    rows = drawn.selectExpr(*map(quoted, by), *_series("dl"), *_series("ul"))
     plain = _plain_aggregates("dl") + _plain_aggregates("ul")
     picks = _quantiles("dl", quartiles) | _quantiles("ul", quartiles)
     both = (F.col("dl_samples_day") > 0) & (F.col("ul_samples_day") > 0)
     if spread:
+        digits = {pick.series: 3 for pick in picks.values()}
         stats = rows.groupBy(*by).agg(*plain).where(both)
-        stats = stats.join(spread_quantiles(rows, by, picks, 3), by, "left")
+        stats = stats.join(spread_quantiles(rows, by, picks, digits), by, "left")
         found = [F.col(name) for name in picks]
     else:
         exact, found = quantile_arrays(picks)
         stats = rows.groupBy(*by).agg(*plain, *exact).where(both)
-    plain_names = [c for s in DIRECTIONS for c in daily_columns(s) if c not in picks]
+    daily_plain = [c for short in DIRECTIONS for c in daily_columns(short)]
     counts = [f"_{s}_bucket{i}" for s in DIRECTIONS for i in range(len(buckets.EDGES))]
-    return stats.select(*by, *plain_names, *counts, *found).withColumns(
-        {
-            c: steady_round(F.col(c), 3)
-            for s in DIRECTIONS
-            for c in daily_columns(s)
-            if not c.endswith("samples_day")
-        }
+    stats = stats.select(*by, *[c for c in daily_plain if c not in picks], *counts, *found)
+    return stats.selectExpr(
+        *map(quoted, by),
+        *counts,
+        *[
+            c if c.endswith("samples_day") else f"{steady_round(c, 3)} AS {c}"
+            for short in DIRECTIONS
+            for c in daily_columns(short)
+        ],
     )
 
 
 def histogram(daily: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Eight rows per (date, keys), one per bucket, next to the daily statistics."""
 
-    def bucket(i: int) -> Column:
-        fields = [buckets.label(i), buckets.upper(i)]
+    def bucket(i: int) -> str:
+        low, high = buckets.EDGES[i]
+        fields = [f"{(low if i else 0.0)!r}D", f"{high!r}D"]
         for short in DIRECTIONS:
-            count = F.col(f"_{short}_bucket{i}")
-            fields += [count, steady_round(count / F.col(f"{short}_samples_day"), 3)]
-        return F.struct(*[f.alias(n) for f, n in zip(fields, BUCKET_COLUMNS, strict=True)])
+            count = f"_{short}_bucket{i}"
+            fields += [count, steady_round(f"{count} / {short}_samples_day", 3)]
+        named = [f"{f} AS {n}" for f, n in zip(fields, BUCKET_COLUMNS, strict=True)]
+        return f"struct({', '.join(named)})"
 
-    rows = F.array(*[bucket(i) for i in range(len(buckets.EDGES))])
+    rows = ", ".join(bucket(i) for i in range(len(buckets.EDGES)))
     stats = [c for short in DIRECTIONS for c in daily_columns(short)]
-    return daily.select("date", *keys, F.inline(rows), *stats)
+    return daily.selectExpr(
+        "date", *map(quoted, keys), f"inline(array({rows}))", *stats
+    )

@@ -28,9 +28,22 @@ class Prepared:
     spread_quantiles: bool
 
 
-def prepare(tests: DataFrame, limits: Limits = DEFAULT, hashing: str = "md5") -> Prepared:
-    """Clean once and check group sizes once for any number of levels."""
+def prepare(
+    tests: DataFrame,
+    rows_at_most: int | None = None,
+    limits: Limits = DEFAULT,
+    hashing: str = "md5",
+) -> Prepared:
+    """Clean once and check group sizes once for any number of levels.
+
+    `rows_at_most` is an upper bound on the number of tests, if one is known (Parquet
+    footers give it without reading data). When the bound itself rules out large
+    groups, they need not be looked for.
+    """
     rows = clean(tests, hashing)
+    smallest = min(limits.tests_per_group, limits.samples_per_group)
+    if rows_at_most is not None and rows_at_most <= smallest:
+        return Prepared(rows, None, False)
     found = profile(rows)
     hot = None
     if found.tests_per_address > limits.tests_per_group:

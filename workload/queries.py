@@ -2,12 +2,26 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from netstats.functions.address import parse_ip
 from netstats.levels import LEVELS
-from netstats.plans.histograms import level_histogram, prepare
+from netstats.operators.clean import level_rows
+from netstats.operators.sampling import pair
+from netstats.operators.skew import join_null_safe
+from netstats.operators.spatial import dissolve, locate_points
+from netstats.operators.summary import daily_statistics
+from netstats.plans import annotation, export, fleet, mapdata
+from netstats.plans.histograms import Prepared, draws, level_histogram, prepare
+from netstats.plans.refresh import refresh
+from netstats.schema import BUCKET_COLUMNS, daily_columns
+from netstats.sources.filings import consumer_filings
+from netstats.sources.geography import tract_ids
 from workload import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,13 +36,282 @@ def register(name: str) -> Callable[[Query], Query]:
     return keep
 
 
+def _rows(spark: SparkSession, sf_dir: str, table: str) -> int:
+    """Rows of a table, from its footers."""
+    return tables.read(spark, sf_dir, table).count()
+
+
+def _prepared(spark: SparkSession, sf_dir: str) -> Prepared:
+    """Cleaned measurements. There is one per event, which bounds their number."""
+    tests = tables.measurements(spark, sf_dir)
+    return prepare(tests, rows_at_most=_rows(spark, sf_dir, "events"))
+
+
+def _prepared_shipments(spark: SparkSession, sf_dir: str) -> Prepared:
+    tests = tables.shipments(spark, sf_dir)
+    return prepare(tests, rows_at_most=_rows(spark, sf_dir, "lineitem"))
+
+
+def _level(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return level_histogram(name, _prepared(spark, sf_dir), tables.boundaries(spark, sf_dir))
+
+
 def _level_query(name: str) -> Query:
+    return lambda spark, sf_dir: _level(spark, sf_dir, name)
+
+
+for _name in LEVELS:
+    QUERIES[f"level_{_name}"] = _level_query(_name)
+
+
+@register("level_continents_documented_quartiles")
+def _documented(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return level_histogram("continents", _prepared(spark, sf_dir), quartiles="documented")
+
+
+def _shipments_query(name: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        prepared = prepare(tables.measurements(spark, sf_dir))
-        return level_histogram(name, prepared, tables.boundaries(spark, sf_dir))
+        return level_histogram(name, _prepared_shipments(spark, sf_dir))
 
     return query
 
 
-for _name in LEVELS:
-    QUERIES[f"level_{_name}"] = _level_query(_name)
+for _name in ("continents", "countries_asn", "global_asn"):
+    QUERIES[f"shipments_{_name}"] = _shipments_query(_name)
+
+
+@register("clean_rows")
+def _clean_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return level_rows(LEVELS["cities_asn"], _prepared(spark, sf_dir).rows)
+
+
+@register("parse_addresses")
+def _parse_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parsed = tables.addresses(spark, sf_dir).withColumn("ip", parse_ip(F.col("text")))
+    return parsed.groupBy("ip").agg(
+        F.count(F.lit(1)).alias("tests"), F.count_distinct("text").alias("spellings")
+    )
+
+
+@register("ip_sample")
+def _ip_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keys = LEVELS["countries"].keys
+    return pair(draws("countries", _prepared(spark, sf_dir)), keys)
+
+
+@register("log_histogram")
+def _log_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keys = LEVELS["countries_asn"].keys
+    return _level(spark, sf_dir, "countries_asn").select("date", *keys, *BUCKET_COLUMNS)
+
+
+@register("daily_stats")
+def _daily_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keys = LEVELS["regions"].keys
+    daily = daily_statistics(draws("regions", _prepared(spark, sf_dir)), keys)
+    return daily.select("date", *keys, *daily_columns("dl"), *daily_columns("ul"))
+
+
+@register("shard_sizes")
+def _shard_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return export.shard_sizes(_level(spark, sf_dir, "cities"))
+
+
+@register("geographies")
+def _geographies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return export.geographies(_level(spark, sf_dir, "regions"), "regions")
+
+
+@register("export_json")
+def _export_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return export.file_contents(_level(spark, sf_dir, "countries"), "countries")
+
+
+def _scratch(spark: SparkSession) -> str:
+    """A new folder in the place all executors share."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp()
+    return f"{shared.rstrip('/')}/netstats-{uuid.uuid4().hex}"
+
+
+@register("exported_files")
+def _exported_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files written by the export, read back."""
+    root = _scratch(spark)
+    export.export(_level(spark, sf_dir, "counties"), "counties", root)
+    files = spark.read.text(f"{root}/v0/NA/US/counties/*/*/*.json", wholetext=True)
+    path = F.regexp_extract(F.input_file_name(), "/(v0/.*)$", 1)
+    return files.select(path.alias("path"), F.col("value").alias("content"))
+
+
+@register("refreshed_table")
+def _refreshed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table filled for a month, refreshed for two of its weeks, and read back."""
+    tests, root = tables.measurements(spark, sf_dir), _scratch(spark)
+    for start, end in (("2024-01-01", "2024-01-31"), ("2024-01-08", "2024-01-21")):
+        failed = refresh(tests, start, end, root, ["countries"])
+        if failed:
+            raise RuntimeError("; ".join(failed))
+    return spark.read.parquet(f"{root}/countries")
+
+
+@register("pip_join")
+def _pip_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    points = tables.points(spark, sf_dir)
+    found = locate_points(points, tables.diamonds(spark, sf_dir), cell=1.0)
+    return join_null_safe(points, found, ["lon", "lat"]).select("c_custkey", "geo_id")
+
+
+@register("dissolve_edges")
+def _dissolve_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dissolve(tables.blocks(spark, sf_dir), "tract", ("state",))
+
+
+_CONNECTION_DAYS = ("2018-01-01", "2020-03-10")
+_HOP_DAYS = (annotation.HOP_FIRST, annotation.HOP_LAST)
+
+
+def _missing_connections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return annotation.missing_connections(
+        tables.connections(spark, sf_dir), tables.connection_index(spark, sf_dir), *_CONNECTION_DAYS
+    )
+
+
+def _missing_hops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return annotation.missing_hops(
+        tables.traces(spark, sf_dir), tables.hop_index(spark, sf_dir), *_HOP_DAYS
+    )
+
+
+@register("anti_join_connections")
+def _anti_join_connections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _missing_connections(spark, sf_dir).select(
+        "UUID",
+        F.date_format("Timestamp", "yyyy-MM-dd HH:mm:ss").alias("first_time"),
+        F.col("Server.Site").alias("site"),
+        F.col("Server.Network.ASNumber").alias("server_asn"),
+        F.col("Client.Geo.CountryCode").alias("client_country"),
+        "year_month_day",
+    )
+
+
+@register("anti_join_hops")
+def _anti_join_hops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _missing_hops(spark, sf_dir).select(
+        "ID",
+        F.col("Timestamp").alias("first_time"),
+        F.col("Annotations.Geo.CountryCode").alias("country"),
+        "Date",
+        "FilenameTimestamp",
+        "Hostname",
+        "IP",
+    ).withColumnsRenamed({"Date": "hop_date"})
+
+
+@register("connection_files")
+def _connection_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return annotation.connection_files(_missing_connections(spark, sf_dir))
+
+
+@register("hop_files")
+def _hop_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return annotation.hop_files(_missing_hops(spark, sf_dir))
+
+
+@register("backfill_days_connections")
+def _backfill_days_connections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tests = tables.connections(spark, sf_dir)
+    return annotation.days_to_backfill(tests, before=annotation.TCPINFO_BEFORE)
+
+
+@register("backfill_days_hops")
+def _backfill_days_hops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return annotation.days_to_backfill(tables.traces(spark, sf_dir), *_HOP_DAYS)
+
+
+_FLEET_DAYS = ("2024-01-03", "2024-01-28")
+
+
+@register("canary_numbered")
+def _canary_numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fleet.numbered(
+        fleet.normalise(tables.fleet(spark, sf_dir)),
+        rows_at_most=_rows(spark, sf_dir, "events"),
+    )
+    return rows.select(
+        "ID",
+        "endpointHash",
+        "NDTVersion",
+        "elapsedTime",
+        F.col("client.isMonitoring").alias("isMonitoring"),
+        F.col("client.WScale").alias("WScale"),
+        F.col("server.Metro").alias("Metro"),
+        *[f"{g}{what}" for g in fleet.GROUPS for what in ("Sample", "Count")],
+    )
+
+
+@register("canary_rate")
+def _canary_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fleet.panel(fleet.normalise(tables.fleet(spark, sf_dir)), *_FLEET_DAYS)
+    return fleet.rated(rows).select("ID", "metroFrequency")
+
+
+@register("canary_stats")
+def _canary_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fleet.fleet_health(
+        tables.fleet(spark, sf_dir),
+        *_FLEET_DAYS,
+        compute_date=F.lit("2024-02-01").cast("date"),
+        rows_at_most=_rows(spark, sf_dir, "events"),
+    )
+
+
+def _filings_query(geography: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        offers = consumer_filings(tables.filings(spark, sf_dir))
+        return mapdata.filings_by(offers, geography)
+
+    return query
+
+
+for _name in ("block", "tract", "county"):
+    QUERIES[f"filings_by_{_name}"] = _filings_query(_name)
+
+PERIODS = mapdata.periods_of(1995, 2001)
+
+
+def _steady(frame: DataFrame) -> DataFrame:
+    """Medians of two middle values, and shares, without their last bits."""
+    noisy = [c for c in frame.columns if "median" in c or "percent" in c or c.endswith("_pct")]
+    return frame.withColumns({c: F.round(c, 6) for c in noisy})
+
+
+@register("halfyear_summary")
+def _halfyear_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _steady(mapdata.half_years(tables.statistics(spark, sf_dir, 5)))
+
+
+@register("halfyear_from_levels")
+def _halfyear_from_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = level_histogram("continents", _prepared_shipments(spark, sf_dir))
+    rows = table.withColumn("fips", F.col("continent_code"))
+    return _steady(mapdata.half_years(rows))
+
+
+@register("halfyear_wide")
+def _halfyear_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    summary = mapdata.half_years(tables.statistics(spark, sf_dir, 5))
+    return _steady(mapdata.wide_half_years(summary, PERIODS))
+
+
+@register("map_join")
+def _map_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    offers = consumer_filings(tables.filings(spark, sf_dir))
+    summary = mapdata.half_years(tables.statistics(spark, sf_dir, 11))
+    features = mapdata.map_features(
+        tract_ids(tables.tract_features(spark, sf_dir)),
+        tables.demographics(spark, sf_dir),
+        tables.internet(spark, sf_dir),
+        mapdata.filings_by(offers, "tract"),
+        mapdata.wide_half_years(summary, PERIODS[:2]),
+    )
+    return _steady(mapdata.published(features))
