@@ -13,3 +13,9 @@ def in_bucket(value: str, bucket: int) -> str:
     """SQL condition: left-closed, right-open."""
     low, high = EDGES[bucket]
     return f"{value} >= {low!r}D AND {value} < {high!r}D"
+
+
+def bucket_of(value: str) -> str:
+    """SQL expression for the index of a value's bucket; NULL outside all of them."""
+    cases = " ".join(f"WHEN {in_bucket(value, i)} THEN {i}" for i in range(len(EDGES)))
+    return f"CASE {cases} END"

@@ -16,9 +16,9 @@ def steady_round(value: str, digits: int) -> str:
     return f"round(round({value}, 9), {digits})"
 
 
-def log_mean(value: str) -> str:
+def log_mean(value: str, condition: str = "true") -> str:
     """Geometric mean; values of zero or less are ignored."""
-    return f"pow(10D, avg(CASE WHEN {value} > 0 THEN log10({value}) END))"
+    return f"pow(10D, avg(CASE WHEN {condition} AND {value} > 0 THEN log10({value}) END))"
 
 
 def share(condition: str, of: str) -> str:

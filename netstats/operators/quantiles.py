@@ -1,4 +1,4 @@
-"""Exact quantiles, as one aggregate or spread over many tasks."""
+"""Exact quantiles, by sorting groups or by counting values."""
 
 from __future__ import annotations
 
@@ -8,43 +8,44 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from netstats.functions.numbers import quoted
+
 
 @dataclass(frozen=True)
 class Quantile:
-    """The smallest value whose rank is at least part/whole of the count."""
+    """The smallest value of a series whose rank is at least part/whole of the count."""
 
     series: str
     part: int
     whole: int
 
-    @property
-    def fraction(self) -> float:
-        # A hair below part/whole, so that a product that is a whole rank in exact
-        # arithmetic does not become the next rank in floating point.
-        return self.part / self.whole - 1e-12
-
-
-def quantile_arrays(picks: Mapping[str, Quantile]) -> tuple[list[Column], list[Column]]:
-    """(aggregates, projections): one exact percentile aggregate per series."""
-    by_series: dict[str, list[str]] = {}
-    for name, pick in picks.items():
-        by_series.setdefault(pick.series, []).append(name)
-    aggregates, projections = [], []
-    for series, names in by_series.items():
-        fractions = ", ".join(repr(picks[n].fraction) + "D" for n in names)
-        aggregates.append(
-            F.expr(f"percentile_disc(array({fractions})) WITHIN GROUP (ORDER BY `{series}`)").alias(
-                f"_q_{series}"
-            )
-        )
-        projections += [F.get(F.col(f"_q_{series}"), F.lit(i)).alias(n) for i, n in enumerate(names)]
-    return aggregates, projections
-
-
-def spread_quantiles(
+
+def with_ranks(rows: DataFrame, by: Sequence[str], series: Sequence[str]) -> DataFrame:
+    """Add `_rank_<series>` and `_n_<series>` within each group; NULLs come last.
+
+    One sort per series and no buffer that grows with a group, as long as the rows
+    of a group may be sorted by one task.
+    """
+    together = Window.partitionBy(*by)
+    for s in series:
+        rows = rows.withColumn(
+            f"_rank_{s}", F.row_number().over(together.orderBy(F.col(s).asc_nulls_last()))
+        ).withColumn(f"_n_{s}", F.count(s).over(together))
+    return rows
+
+
+def ranked_value(pick: Quantile, condition: str = "true") -> str:
+    """Aggregate (as SQL text) that reads a quantile off rows ranked by `with_ranks`."""
+    s = pick.series
+    # In whole numbers, so that no rank is missed by a rounding error.
+    wanted = f"(_n_{s} * {pick.part} + {pick.whole - 1}) div {pick.whole}"
+    return f"max(CASE WHEN {condition} AND _rank_{s} = greatest({wanted}, 1) THEN {quoted(s)} END)"
+
+
+def counted_quantiles(
     rows: DataFrame, keys: Sequence[str], picks: Mapping[str, Quantile], digits: Mapping[str, int]
 ) -> DataFrame:
-    """Quantiles rounded to the `digits` of their series, for groups too large for one aggregate buffer.
+    """Quantiles rounded to the `digits` of their series, for groups of any size.
 
     Rounding keeps order, so quantiles can be read from a count of rounded values.
     Values are part of the shuffle key, which spreads a hot group evenly; what is

@@ -1,68 +1,105 @@
-"""Point-in-polygon join over a grid, and dissolving of polygons."""
+"""Point-in-polygon join over grids, and dissolving of polygons."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from netstats.functions.geometry import edges, within
 from netstats.limits import DEFAULT, Limits
 from netstats.operators.skew import lookup_join
 
-# Grid width per layer in degrees, near the size of its smaller polygons.
-CELL = {"states": 1.0, "counties": 0.25, "tracts": 0.05}
+# Grids whose cells are 2^-8 to 2^8 degrees wide. A polygon lies in the finest one
+# whose cells are no smaller than the polygon, so it touches at most four cells.
+GRIDS = list(range(-8, 9, 2))
+# Edges that a latitude strip of a polygon should hold, and strips it may have.
+EDGES_PER_STRIP, MOST_STRIPS = 16, 256
 
 
-def locate_points(points: DataFrame, boundaries: DataFrame, cell: float) -> DataFrame:
+def _cell(coordinate: Column, grid: Column) -> Column:
+    return F.floor(coordinate / F.pow(F.lit(2.0), grid)).cast("bigint")
+
+
+def _shapes(boundaries: DataFrame) -> DataFrame:
+    """Edges, bounding box, grid and number of strips of each polygon."""
+    vertices = F.flatten("rings")
+    xs = F.transform(vertices, lambda v: v["x"])
+    ys = F.transform(vertices, lambda v: v["y"])
+    boxed = boundaries.select(
+        "geo_id",
+        edges(F.col("rings")).alias("edges"),
+        F.array_min(xs).alias("x_min"),
+        F.array_max(xs).alias("x_max"),
+        F.array_min(ys).alias("y_min"),
+        F.array_max(ys).alias("y_max"),
+    )
+    width = F.greatest(F.col("x_max") - F.col("x_min"), F.col("y_max") - F.col("y_min"))
+    even = F.ceil(F.log2(width) / 2) * 2
+    strips = F.floor(F.size("edges") / EDGES_PER_STRIP)
+    return boxed.where(width > 0).select(
+        "*",
+        F.least(F.greatest(even, F.lit(GRIDS[0])), F.lit(GRIDS[-1])).cast("int").alias("grid"),
+        F.least(F.greatest(strips, F.lit(1)), F.lit(MOST_STRIPS)).cast("int").alias("strips"),
+    )
+
+
+def _strip(y: Column) -> Column:
+    """Strip of a latitude; grows with y, so an edge's strips cover all its latitudes."""
+    height = F.col("y_max") - F.col("y_min")
+    part = F.try_divide(y - F.col("y_min"), height) * F.col("strips")
+    return F.coalesce(F.floor(part), F.lit(0)).cast("int")
+
+
+def locate_points(points: DataFrame, boundaries: DataFrame) -> DataFrame:
     """(lon, lat, geo_id) for every distinct point and polygon around it.
 
     Two equi-joins: points meet polygons whose bounding box covers their cell, and
     each remaining pair meets those edges of the polygon that lie in the point's
-    latitude strip. So a polygon's edges are stored about once, however many cells
-    it covers, and the exact test reads only a strip of it.
+    latitude strip. A polygon of any size gives at most four cells, and its edges
+    are stored about once; the exact test reads only a strip of them.
     """
-    parts = boundaries.select(F.col("geo_id"), F.explode(edges(F.col("rings"))).alias("e"))
-
-    def grid(c):
-        return F.floor(c / F.lit(cell)).cast("bigint")
-
-    low_y, high_y = F.least("e.y1", "e.y2"), F.greatest("e.y1", "e.y2")
-    strips = (
-        parts.select("geo_id", "e", F.explode(F.sequence(grid(low_y), grid(high_y))).alias("row"))
-        .groupBy("geo_id", "row")
-        .agg(F.collect_list("e").alias("strip"))
+    shapes = _shapes(boundaries)
+    box = ["x_min", "x_max", "y_min", "y_max", "strips"]
+    grid = F.col("grid")
+    cells = (
+        shapes.select("geo_id", *box, "grid")
+        .withColumn("col", F.explode(F.sequence(_cell(F.col("x_min"), grid), _cell(F.col("x_max"), grid))))
+        .withColumn("row", F.explode(F.sequence(_cell(F.col("y_min"), grid), _cell(F.col("y_max"), grid))))
     )
-    boxes = parts.groupBy("geo_id").agg(
-        F.min(F.least("e.x1", "e.x2")).alias("x_min"),
-        F.max(F.greatest("e.x1", "e.x2")).alias("x_max"),
-        F.min(low_y).alias("y_min"),
-        F.max(high_y).alias("y_max"),
+    strips = (
+        shapes.select("geo_id", "y_min", "y_max", "strips", F.explode("edges").alias("e"))
+        .withColumn(
+            "strip",
+            F.explode(
+                F.sequence(_strip(F.least("e.y1", "e.y2")), _strip(F.greatest("e.y1", "e.y2")))
+            ),
+        )
+        .groupBy("geo_id", "strip")
+        .agg(F.collect_list("e").alias("edges"))
     )
-    cells = boxes.withColumn(
-        "row", F.explode(F.sequence(grid(F.col("y_min")), grid(F.col("y_max"))))
-    ).withColumn("col", F.explode(F.sequence(grid(F.col("x_min")), grid(F.col("x_max")))))
     distinct = (
         points.select("lon", "lat")
         .where(F.col("lon").isNotNull() & F.col("lat").isNotNull())
         .distinct()
-        .withColumn("row", grid(F.col("lat")))
-        .withColumn("col", grid(F.col("lon")))
+        .withColumn("grid", F.explode(F.array(*[F.lit(g) for g in GRIDS])))
+        .withColumn("col", _cell(F.col("lon"), grid))
+        .withColumn("row", _cell(F.col("lat"), grid))
     )
     near = (
-        distinct.join(cells, ["row", "col"])
+        distinct.join(cells, ["grid", "col", "row"])
         .where(F.col("lon").between(F.col("x_min"), F.col("x_max")))
         .where(F.col("lat").between(F.col("y_min"), F.col("y_max")))
-        .select("lon", "lat", "geo_id", "row")
+        .select("lon", "lat", "geo_id", _strip(F.col("lat")).alias("strip"))
     )
     return (
-        near.join(strips, ["geo_id", "row"])
-        .where(within(F.col("lon"), F.col("lat"), F.col("strip")))
+        near.join(strips, ["geo_id", "strip"])
+        .where(within(F.col("lon"), F.col("lat"), F.col("edges")))
         .select("lon", "lat", "geo_id")
     )
 
 
 def attach_boundary(
-    cleaned: DataFrame, boundaries: DataFrame, layer: str, limits: Limits = DEFAULT
+    cleaned: DataFrame, boundaries: DataFrame, limits: Limits = DEFAULT
 ) -> DataFrame:
     """Cleaned tests with GEOID and the names of the polygon they lie in.
 
@@ -70,7 +107,7 @@ def attach_boundary(
     test runs once per distinct point; the result is a lookup on (lon, lat).
     """
     names = [c for c in boundaries.columns if c not in ("geo_id", "rings")]
-    found = locate_points(cleaned, boundaries, CELL[layer])
+    found = locate_points(cleaned, boundaries)
     lookup = found.join(boundaries.select("geo_id", *names), "geo_id").withColumnRenamed(
         "geo_id", "GEOID"
     )

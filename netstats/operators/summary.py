@@ -9,7 +9,12 @@ from pyspark.sql import functions as F
 
 from netstats.functions import buckets
 from netstats.functions.numbers import log_mean, quoted, steady_round
-from netstats.operators.quantiles import Quantile, quantile_arrays, spread_quantiles
+from netstats.operators.quantiles import (
+    Quantile,
+    counted_quantiles,
+    ranked_value,
+    with_ranks,
+)
 from netstats.schema import BUCKET_COLUMNS, DIRECTIONS, daily_columns
 
 # The published quartile columns are the 24th, 49th and 74th
@@ -17,44 +22,39 @@ from netstats.schema import BUCKET_COLUMNS, DIRECTIONS, daily_columns
 QUARTILES = {"published": (24, 49, 74), "documented": (25, 50, 75)}
 
 
-def _series(short: str) -> list[str]:
-    """Values of one direction, NULL on rows of the other and on undrawn rows."""
+def _plain_aggregates(short: str) -> dict[str, str]:
+    """Everything but the quantiles of one direction, as SQL texts."""
+    long = DIRECTIONS[short]
     first = f"direction = '{short}' AND is_first"
     second = f"direction = '{short}' AND is_second"
-    return [
-        f"{first} AS {short}_first",
-        f"CASE WHEN {first} THEN mbps END AS {short}_mbps1",
-        f"CASE WHEN {second} THEN mbps END AS {short}_mbps2",
-        f"CASE WHEN {first} THEN MinRTT END AS {short}_rtt1",
-        f"CASE WHEN {second} THEN MinRTT END AS {short}_rtt2",
-    ]
 
+    def of(column: str, drawn: str) -> str:
+        return f"CASE WHEN {drawn} THEN {column} END"
 
-def _plain_aggregates(short: str) -> list[Column]:
-    long, mbps = DIRECTIONS[short], f"{short}_mbps1"
+    mbps = of("mbps", first)
     named = {
-        f"{short}_samples_day": f"count_if({short}_first)",
-        f"{short}_LOG_AVG_rnd1": log_mean(mbps),
-        f"{short}_LOG_AVG_rnd2": log_mean(f"{short}_mbps2"),
-        f"{short}_minRTT_LOG_AVG_rnd1": log_mean(f"{short}_rtt1"),
-        f"{short}_minRTT_LOG_AVG_rnd2": log_mean(f"{short}_rtt2"),
+        f"{short}_samples_day": f"count_if({first})",
+        f"{short}_LOG_AVG_rnd1": log_mean("mbps", first),
+        f"{short}_LOG_AVG_rnd2": log_mean("mbps", second),
+        f"{short}_minRTT_LOG_AVG_rnd1": log_mean("MinRTT", first),
+        f"{short}_minRTT_LOG_AVG_rnd2": log_mean("MinRTT", second),
         f"{long}_MIN": f"min({mbps})",
         f"{long}_AVG": f"avg({mbps})",
         f"{long}_MAX": f"max({mbps})",
     }
     for i in range(len(buckets.EDGES)):
-        named[f"_{short}_bucket{i}"] = f"count_if({buckets.in_bucket(mbps, i)})"
-    return [F.expr(f"{text} AS {name}") for name, text in named.items()]
+        named[f"_{short}_bucket{i}"] = f"count_if({first} AND bucket = {i})"
+    return named
 
 
 def _quantiles(short: str, quartiles: str) -> dict[str, Quantile]:
     long = DIRECTIONS[short]
     q25, median, q75 = QUARTILES[quartiles]
     return {
-        f"{long}_Q25": Quantile(f"{short}_mbps1", q25, 100),
-        f"{long}_MED": Quantile(f"{short}_mbps1", median, 100),
-        f"{long}_Q75": Quantile(f"{short}_mbps1", q75, 100),
-        f"{long}_minRTT_MED": Quantile(f"{short}_rtt1", median, 100),
+        f"{long}_Q25": Quantile("mbps", q25, 100),
+        f"{long}_MED": Quantile("mbps", median, 100),
+        f"{long}_Q75": Quantile("mbps", q75, 100),
+        f"{long}_minRTT_MED": Quantile("MinRTT", median, 100),
     }
 
 
@@ -64,26 +64,31 @@ def daily_statistics(
     """One row per (date, keys) that has samples in both directions.
 
     Bucket counts stay as columns `_dl_bucket0` ... until `histogram` unfolds them.
-    With `spread`, quantiles come from counted values instead of a percentile
-    aggregate, for geographies with very many samples.
+    One shuffle brings a geography's day together, and ranks, statistics and counts
+    are all taken there. With `spread` nothing is brought together before it is
+    aggregated, for geographies with very many samples.
     """
     by = ["date", *keys]
-    rows = drawn.selectExpr(*map(quoted, by), *_series("dl"), *_series("ul"))
-    plain = _plain_aggregates("dl") + _plain_aggregates("ul")
-    picks = _quantiles("dl", quartiles) | _quantiles("ul", quartiles)
-    both = (F.col("dl_samples_day") > 0) & (F.col("ul_samples_day") > 0)
+    plain = {k: v for short in DIRECTIONS for k, v in _plain_aggregates(short).items()}
+    rows = drawn.withColumn("bucket", F.expr(buckets.bucket_of("mbps")))
     if spread:
-        digits = {pick.series: 3 for pick in picks.values()}
-        stats = rows.groupBy(*by).agg(*plain).where(both)
-        stats = stats.join(spread_quantiles(rows, by, picks, digits), by, "left")
-        found = [F.col(name) for name in picks]
+        stats = rows.groupBy(*by).agg(*_aliased(plain))
+        for short in DIRECTIONS:
+            picks = _quantiles(short, quartiles)
+            first = drawn.where((F.col("direction") == short) & F.col("is_first"))
+            found = counted_quantiles(first, by, picks, {"mbps": 3, "MinRTT": 3})
+            stats = stats.join(found, by, "left")
     else:
-        exact, found = quantile_arrays(picks)
-        stats = rows.groupBy(*by).agg(*plain, *exact).where(both)
-    daily_plain = [c for short in DIRECTIONS for c in daily_columns(short)]
+        together = rows.repartition(*by)
+        ranked = with_ranks(together, [*by, "direction", "is_first"], ["mbps", "MinRTT"])
+        exact = {
+            name: ranked_value(pick, f"direction = '{short}' AND is_first")
+            for short in DIRECTIONS
+            for name, pick in _quantiles(short, quartiles).items()
+        }
+        stats = ranked.groupBy(*by).agg(*_aliased(plain | exact))
     counts = [f"_{s}_bucket{i}" for s in DIRECTIONS for i in range(len(buckets.EDGES))]
-    stats = stats.select(*by, *[c for c in daily_plain if c not in picks], *counts, *found)
-    return stats.selectExpr(
+    return stats.where("dl_samples_day > 0 AND ul_samples_day > 0").selectExpr(
         *map(quoted, by),
         *counts,
         *[
@@ -94,6 +99,10 @@ def daily_statistics(
     )
 
 
+def _aliased(texts: dict[str, str]) -> list[Column]:
+    return [F.expr(f"{text} AS `{name}`") for name, text in texts.items()]
+
+
 def histogram(daily: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Eight rows per (date, keys), one per bucket, next to the daily statistics."""
 
@@ -102,7 +111,7 @@ def histogram(daily: DataFrame, keys: Sequence[str]) -> DataFrame:
         fields = [f"{(low if i else 0.0)!r}D", f"{high!r}D"]
         for short in DIRECTIONS:
             count = f"_{short}_bucket{i}"
-            fields += [count, steady_round(f"{count} / {short}_samples_day", 3)]
+            fields += [count, steady_round(f"try_divide({count}, {short}_samples_day)", 3)]
         named = [f"{f} AS {n}" for f, n in zip(fields, BUCKET_COLUMNS, strict=True)]
         return f"struct({', '.join(named)})"
 

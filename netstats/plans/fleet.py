@@ -12,7 +12,7 @@ from netstats.functions.numbers import share, steady_round
 from netstats.limits import DEFAULT, Limits
 from netstats.operators.clean import between_dates
 from netstats.operators.numbering import number
-from netstats.operators.quantiles import Quantile, quantile_arrays, spread_quantiles
+from netstats.operators.quantiles import Quantile, counted_quantiles, ranked_value, with_ranks
 from netstats.operators.skew import join_null_safe, lookup_join
 
 # Addresses of the platform's own monitoring clients, the metadata
@@ -206,6 +206,18 @@ def _sample_columns(rows: DataFrame) -> DataFrame:
     )
 
 
+def _correlation(x: str, y: str, where: str) -> str:
+    """Pearson correlation: NULL below two pairs, NaN where one side does not vary.
+
+    The built-in aggregate divides by zero in the second case, which is an error in
+    ANSI mode.
+    """
+    x, y = (f"CASE WHEN {where} THEN {v} END" for v in (x, y))
+    ratio = f"try_divide(covar_pop({x}, {y}), stddev_pop({x}) * stddev_pop({y}))"
+    known = f"coalesce({steady_round(ratio, 3)}, double('NaN'))"
+    return f"CASE WHEN count_if({where}) >= 2 THEN {known} END"
+
+
 def _aggregates() -> list[Column]:
     tests = "count(uuid)"
     texts = {
@@ -220,10 +232,7 @@ def _aggregates() -> list[Column]:
             "exp(avg(CASE WHEN MinRTT > 0 THEN ln(MinRTT) ELSE 0 END))", 3
         ),
         "AvgLossRate": "avg(LossRate)",
-        "pearson": steady_round(
-            "corr(CASE WHEN MinRTT > 0 THEN ln(1 / MinRTT) END, CASE WHEN mbps > 0 THEN ln(mbps) END)",
-            3,
-        ),
+        "pearson": _correlation("-ln(MinRTT)", "ln(mbps)", "MinRTT > 0 AND mbps > 0"),
         "max": "round(max(mbps), 2)",
         "under_1": share("mbps < 1", tests),
         "_1_3": share("mbps BETWEEN 1 AND 3", tests),
@@ -274,15 +283,14 @@ def fleet_health(
     if rows_at_most > limits.samples_per_group:
         stats = join_null_safe(
             samples.groupBy(*KEYS).agg(*_aggregates()),
-            spread_quantiles(samples, KEYS, QUANTILES, DIGITS),
+            counted_quantiles(samples, KEYS, QUANTILES, DIGITS),
             KEYS,
             "left",
         )
     else:
-        exact, found = quantile_arrays(QUANTILES)
-        stats = samples.groupBy(*KEYS).agg(*_aggregates(), *exact).select(
-            "*", *[c.alias(n) for n, c in zip(QUANTILES, found, strict=True)]
-        )
+        ranked = with_ranks(samples, KEYS, ["mbps", "MinRTT"])
+        exact = [F.expr(f"{ranked_value(q)} AS {name}") for name, q in QUANTILES.items()]
+        stats = ranked.groupBy(*KEYS).agg(*_aggregates(), *exact)
     return (
         stats.withColumns({n: F.round(n, DIGITS[q.series]) for n, q in QUANTILES.items()})
         .withColumn("compute_date", F.current_date() if compute_date is None else compute_date)

@@ -62,7 +62,7 @@ def draws(
     rows = prepared.rows
     if level.boundary:
         layer = boundaries[level.boundary].drop(*level.attributes)
-        rows = attach_boundary(rows, layer, level.boundary, limits)
+        rows = attach_boundary(rows, layer, limits)
     return draw(level_rows(level, rows), level.keys, prepared.hot_addresses, limits)
 
 

@@ -100,6 +100,9 @@ def _between(low: int, high: int) -> str:
     return _share(f"mbps BETWEEN {low} AND {high}")
 
 
+_X = "CASE WHEN MinRTT > 0 AND mbps > 0 THEN -ln(MinRTT) END"
+_Y = "CASE WHEN MinRTT > 0 AND mbps > 0 THEN ln(mbps) END"
+
 STATS_SQL = f"""WITH {RAW}, {ALL_TESTS}, {NUMBERED}, {RATED},
 samples AS (
   SELECT date AS test_date, country AS "countryName", asname AS "ASName", metro, site, machine,
@@ -119,7 +122,9 @@ SELECT test_date, DATE '2024-02-01' AS compute_date, "countryName", "ASName", me
   {r("avg(CASE WHEN MinRTT < 10000 THEN MinRTT END)")} AS "meanMinRTT",
   {r("exp(avg(CASE WHEN MinRTT > 0 THEN ln(MinRTT) ELSE 0 END))")} AS "logMeanMinRTT",
   avg(loss) AS "AvgLossRate",
-  {r("CASE WHEN isnan(corr(CASE WHEN MinRTT > 0 THEN ln(1 / MinRTT) END, CASE WHEN mbps > 0 THEN ln(mbps) END)) THEN NULL ELSE corr(CASE WHEN MinRTT > 0 THEN ln(1 / MinRTT) END, CASE WHEN mbps > 0 THEN ln(mbps) END) END")} AS pearson,
+  CASE WHEN count({_X}) < 2 THEN NULL
+    WHEN stddev_pop({_X}) = 0 OR stddev_pop({_Y}) = 0 THEN 'nan'::DOUBLE
+    ELSE {r(f"corr({_X}, {_Y})")} END AS pearson,
   {r("quantile_disc(mbps, 10 / 101.0)", 2)} AS q10, {r("quantile_disc(mbps, 25 / 101.0)", 2)} AS q25,
   {r("quantile_disc(mbps, 50 / 101.0)", 2)} AS q50, {r("quantile_disc(mbps, 75 / 101.0)", 2)} AS q75,
   {r("quantile_disc(mbps, 90 / 101.0)", 2)} AS q90, {r("max(mbps)", 2)} AS max,

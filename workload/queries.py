@@ -157,7 +157,7 @@ def _refreshed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("pip_join")
 def _pip_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = tables.points(spark, sf_dir)
-    found = locate_points(points, tables.diamonds(spark, sf_dir), cell=1.0)
+    found = locate_points(points, tables.diamonds(spark, sf_dir))
     return join_null_safe(points, found, ["lon", "lat"]).select("c_custkey", "geo_id")
 
 
