@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -73,11 +74,18 @@ def daily_statistics(
     rows = drawn.withColumn("bucket", F.expr(buckets.bucket_of("mbps")))
     if spread:
         stats = rows.groupBy(*by).agg(*_aliased(plain))
-        for short in DIRECTIONS:
-            picks = _quantiles(short, quartiles)
-            first = drawn.where((F.col("direction") == short) & F.col("is_first"))
-            found = counted_quantiles(first, by, picks, {"mbps": 3, "MinRTT": 3})
-            stats = stats.join(found, by, "left")
+        columns = {f"{s}_{c}": (s, c) for s in DIRECTIONS for c in ("mbps", "MinRTT")}
+        values = drawn.where("is_first").selectExpr(
+            *map(quoted, by),
+            *[f"CASE WHEN direction = '{s}' THEN {c} END AS {n}" for n, (s, c) in columns.items()],
+        )
+        picks = {
+            name: replace(pick, series=f"{short}_{pick.series}")
+            for short in DIRECTIONS
+            for name, pick in _quantiles(short, quartiles).items()
+        }
+        found = counted_quantiles(values, by, picks, dict.fromkeys(columns, 3))
+        stats = stats.join(found, by, "left")
     else:
         together = rows.repartition(*by)
         ranked = with_ranks(together, [*by, "direction", "is_first"], ["mbps", "MinRTT"])

@@ -9,9 +9,9 @@ from netstats.schema import FILINGS
 
 
 def read_filings(spark: SparkSession, path: str) -> DataFrame:
-    """Filing rows of a CSV with a header; columns are found by name."""
+    """Filing rows of a CSV with a header; columns are found by name, empty ones are ''."""
     names = [part.split()[0] for part in FILINGS.split(", ")]
-    return spark.read.csv(path, header=True).select(*names)
+    return spark.read.csv(path, header=True).select(*names).fillna("")
 
 
 def consumer_filings(filings: DataFrame) -> DataFrame:

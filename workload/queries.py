@@ -53,7 +53,9 @@ def _prepared_shipments(spark: SparkSession, sf_dir: str) -> Prepared:
 
 
 def _level(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return level_histogram(name, _prepared(spark, sf_dir), tables.boundaries(spark, sf_dir))
+    layer = LEVELS[name].boundary
+    boundaries = {layer: tables.BOUNDARIES[layer](spark, sf_dir)} if layer else None
+    return level_histogram(name, _prepared(spark, sf_dir), boundaries)
 
 
 def _level_query(name: str) -> Query:

@@ -178,12 +178,7 @@ def tracts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def boundaries(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {
-        "states": states(spark, sf_dir),
-        "counties": counties(spark, sf_dir),
-        "tracts": tracts(spark, sf_dir),
-    }
+BOUNDARIES = {"states": states, "counties": counties, "tracts": tracts}
 
 
 def addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
