@@ -124,7 +124,7 @@ def numbered(
     )
 
 
-def metro_frequency(rows: DataFrame) -> DataFrame:
+def metro_frequency(rows: DataFrame, limits: Limits = DEFAULT) -> DataFrame:
     """Tests per day that an endpoint makes in a metro, per direction.
 
     The tests are counted per endpoint, the days per metro over all endpoints.
@@ -134,7 +134,9 @@ def metro_frequency(rows: DataFrame) -> DataFrame:
     tests = keyed.groupBy("Metro", "endpointHash", "isDownload").agg(
         F.count(F.lit(1)).alias("tests")
     )
-    return join_null_safe(tests, days, ["Metro", "isDownload"]).select(
+    # There are few metros, so a shuffle by metro would end in few tasks.
+    spread_by = F.xxhash64("endpointHash")
+    return lookup_join(tests, days, ["Metro", "isDownload"], spread_by, limits).select(
         "Metro", "endpointHash", "isDownload", (F.col("tests") / F.col("days")).alias("metroFrequency")
     )
 
@@ -148,7 +150,7 @@ def rated(rows: DataFrame, limits: Limits = DEFAULT) -> DataFrame:
     """Panel rows with the test rate of their endpoint."""
     keyed = rows.withColumn("Metro", F.col("server.Metro"))
     on = ["Metro", "endpointHash", "isDownload"]
-    return lookup_join(keyed, metro_frequency(rows), on, F.col("fp"), limits).drop("Metro")
+    return lookup_join(keyed, metro_frequency(rows, limits), on, F.col("fp"), limits).drop("Metro")
 
 
 def first_samples(rows: DataFrame) -> DataFrame:
@@ -279,7 +281,7 @@ def fleet_health(
     on = ["Metro", "endpointHash", "isDownload"]
     sampled = first_samples(rows).withColumn("Metro", F.col("server.Metro"))
     # A busy endpoint keeps few samples, so this join needs no salt.
-    samples = _sample_columns(join_null_safe(sampled, metro_frequency(rows), on))
+    samples = _sample_columns(join_null_safe(sampled, metro_frequency(rows, limits), on))
     if rows_at_most > limits.samples_per_group:
         stats = join_null_safe(
             samples.groupBy(*KEYS).agg(*_aggregates()),
