@@ -36,6 +36,14 @@ def filings_by(offers: DataFrame, geography: str) -> DataFrame:
     )
 
 
+def _median(value: str) -> Column:
+    """Median of the few daily values of a half-year; of two middle values, their mean."""
+    values = F.array_sort(F.collect_list(value))
+    n = F.size(values)
+    low = F.get(values, F.floor((n - 1) / 2).cast("int"))
+    return (low + F.get(values, F.floor(n / 2).cast("int"))) / 2
+
+
 SUMMARIES = (
     "median_dl",
     "median_ul",
@@ -52,25 +60,25 @@ def half_years(statistics: DataFrame) -> DataFrame:
     A day's median is on all rows of its buckets; the first bucket's is used. Days
     are reduced first, so that a half-year has at most 184 values.
     """
-    day = F.col("date").cast("date")
-    half = F.when(F.month(day) <= 6, "jan_jun").otherwise("july_dec")
-    period = F.concat_ws("_", F.year(day).cast("string"), half)
 
     def over(limit: float) -> Column:
         return F.sum(F.when(F.col("bucket_min") > limit, F.col("dl_samples_bucket")).otherwise(0))
 
     first = F.min(F.struct("bucket_min", "download_MED", "upload_MED"))
-    days = statistics.groupBy("fips", period.alias("period"), "date").agg(
+    days = statistics.groupBy("fips", "date").agg(
         first.alias("first"),
         F.sum("dl_samples_bucket").alias("dl"),
         F.sum("ul_samples_bucket").alias("ul"),
         over(AUDIO).alias("audio"),
         over(VIDEO).alias("video"),
     )
+    day = F.col("date").cast("date")
+    half = F.when(F.month(day) <= 6, "jan_jun").otherwise("july_dec")
+    days = days.withColumn("period", F.concat_ws("_", F.year(day).cast("string"), half))
     total = F.sum("dl")
     return days.groupBy(F.col("fips").alias("geo_id"), "period").agg(
-        F.median("first.download_MED").alias("median_dl"),
-        F.median("first.upload_MED").alias("median_ul"),
+        _median("first.download_MED").alias("median_dl"),
+        _median("first.upload_MED").alias("median_ul"),
         total.alias("total_dl_samples"),
         F.sum("ul").alias("total_ul_samples"),
         F.try_divide(F.sum("audio"), total).alias("percent_over_audio_threshold"),
