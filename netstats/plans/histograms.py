@@ -82,12 +82,12 @@ def level_histogram(
     level = LEVELS[level] if isinstance(level, str) else level
     drawn = draws(level, prepared, boundaries, limits)
     daily = daily_statistics(drawn, level.keys, quartiles, prepared.spread_quantiles)
-    table = histogram(daily, level.keys)
     if level.attributes:
         names = boundaries[level.boundary].select(
             F.col("geo_id").alias("GEOID"), *level.attributes
         )
-        table = table.join(names, "GEOID")
+        daily = daily.join(names, "GEOID")
+    table = histogram(daily, [*level.keys, *level.attributes])
     column, shards = level.shard_by
     return table.withColumn("shard", shard(F.col(column), shards)).select(
         *histogram_columns(list(level.keys), list(level.attributes))

@@ -25,6 +25,10 @@ ORACLES["refreshed_table"] = (
     f"SELECT *, CAST(year(date) AS INTEGER) AS year FROM ({level_sql('countries')})"
 )
 
+for _name in ("continents", "countries_asn", "counties"):
+    ORACLES[f"level_{_name}_spread"] = level_sql(_name)
+ORACLES["level_states_from_text"] = level_sql("states")
+
 _cities_asn = LEVELS["cities_asn"]
 ORACLES["clean_rows"] = f"""WITH {MEASUREMENTS}, {located(_cities_asn)}
 SELECT date, direction, {", ".join(_cities_asn.keys)}, ip, fp, mbps, MinRTT FROM tests"""
@@ -227,6 +231,10 @@ FROM orders JOIN lineitem ON l_orderkey = o_orderkey
 WHERE CAST(o_orderdate + INTERVAL 8900 DAY AS DATE) BETWEEN DATE '2019-03-29' AND DATE '2021-09-08'"""
 
 ORACLES["canary_numbered"] = NUMBERED_SQL
+ORACLES["canary_numbered_spread"] = f"""
+SELECT ID, machineSample, machineCount, siteSample, siteCount, metroSample, metroCount
+FROM ({NUMBERED_SQL})"""
+ORACLES["canary_stats_spread"] = STATS_SQL
 ORACLES["canary_rate"] = RATE_SQL
 ORACLES["canary_stats"] = STATS_SQL
 

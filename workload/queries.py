@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from netstats.functions.address import parse_ip
 from netstats.levels import LEVELS
+from netstats.limits import Limits
 from netstats.operators.clean import level_rows
 from netstats.operators.sampling import pair
 from netstats.operators.skew import join_null_safe
@@ -21,7 +22,7 @@ from netstats.plans.histograms import Prepared, draws, level_histogram, prepare
 from netstats.plans.refresh import refresh
 from netstats.schema import BUCKET_COLUMNS, daily_columns
 from netstats.sources.filings import consumer_filings
-from netstats.sources.geography import tract_ids
+from netstats.sources.geography import boundaries_from_wkt, tract_ids
 from workload import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,6 +83,32 @@ for _name in ("continents", "countries_asn", "global_asn"):
     QUERIES[f"shipments_{_name}"] = _shipments_query(_name)
 
 
+# Limits under which nearly every group of the given tables counts as too large for
+# the lean plans, so that the plans for hot keys run over whole tables.
+TIGHT = Limits(tests_per_group=3, samples_per_group=2, broadcast_rows=0, salts=8)
+
+
+def _tight_level_query(name: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        prepared = prepare(tables.measurements(spark, sf_dir), limits=TIGHT)
+        layer = LEVELS[name].boundary
+        boundaries = {layer: tables.BOUNDARIES[layer](spark, sf_dir)} if layer else None
+        return level_histogram(name, prepared, boundaries, limits=TIGHT)
+
+    return query
+
+
+for _name in ("continents", "countries_asn", "counties"):
+    QUERIES[f"level_{_name}_spread"] = _tight_level_query(_name)
+
+
+@register("level_states_from_text")
+def _level_states_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state level with polygons given as text."""
+    layer = boundaries_from_wkt(tables.state_texts(spark, sf_dir), "state_geom")
+    return level_histogram("states", _prepared(spark, sf_dir), {"states": layer})
+
+
 @register("clean_rows")
 def _clean_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return level_rows(LEVELS["cities_asn"], _prepared(spark, sf_dir).rows)
@@ -251,6 +278,12 @@ def _canary_numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register("canary_numbered_spread")
+def _canary_numbered_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fleet.numbered(fleet.normalise(tables.fleet(spark, sf_dir)), TIGHT)
+    return rows.select("ID", *[f"{g}{what}" for g in fleet.GROUPS for what in ("Sample", "Count")])
+
+
 @register("canary_rate")
 def _canary_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fleet.panel(fleet.normalise(tables.fleet(spark, sf_dir)), *_FLEET_DAYS)
@@ -267,6 +300,12 @@ def _canary_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register("canary_stats_spread")
+def _canary_stats_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    date = F.lit("2024-02-01").cast("date")
+    return fleet.fleet_health(tables.fleet(spark, sf_dir), *_FLEET_DAYS, date, limits=TIGHT)
+
+
 def _filings_query(geography: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         offers = consumer_filings(tables.filings(spark, sf_dir))

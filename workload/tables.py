@@ -150,6 +150,22 @@ def states(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def state_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same bands with their polygons as text, two parts each."""
+    key = F.col("n_nationkey")
+    text = (
+        "MULTIPOLYGON (((%1$s -80, %2$s -80, %2$s 0, %1$s 0, %1$s -80)), "
+        "((%1$s 0, %2$s 0, %2$s 80, %1$s 80, %1$s 0)))"
+    )
+    west, east = (key * 14 - 175).cast("string"), (key * 14 - 161).cast("string")
+    return read(spark, sf_dir, "nation").select(
+        F.lpad(key.cast("string"), 2, "0").alias("geo_id"),
+        _text("S", key).alias("state"),
+        F.col("n_name").alias("state_name"),
+        F.format_string(text, west, east).alias("state_geom"),
+    )
+
+
 def counties(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One 10 by 6 degree rectangle per supplier."""
     key = F.col("s_suppkey")
