@@ -20,7 +20,7 @@ EMPTY = {**{k: ("" if isinstance(v, str) else type(v)(0)) for k, v in GEO.items(
 
 
 def connection(uuid, time, site="abc01", geo=GEO, part=None):
-    server = {"Site": site, "Machine": "mlab1", "Geo": geo, "Network": NETWORK}
+    server = {"Site": site, "Machine": "node1", "Geo": geo, "Network": NETWORK}
     client = {"Geo": EMPTY, "Network": {"CIDR": "", "ASNumber": 0, "ASName": ""}}
     return (uuid, time, server, client, part or time.date())
 

@@ -169,7 +169,7 @@ def _asn_json(number: str) -> str:
 ORACLES["connection_files"] = f"""WITH {_CONNECTIONS}
 SELECT strftime(day, '%Y/%m/%d') || '/' || UUID || '.json' AS path,
   '{{"UUID":"' || UUID || '","Timestamp":"' || strftime(t, '%Y-%m-%dT%H:%M:%SZ')
-  || '","Server":{{"Site":"' || site || '","Machine":"mlab1","Geo":{{"CountryCode":"N' || (cust % 25)
+  || '","Server":{{"Site":"' || site || '","Machine":"node1","Geo":{{"CountryCode":"N' || (cust % 25)
   || '"}},"Network":' || {_asn_json("(cust % 9)")}
   || '}},"Client":{{"Geo":{{"CountryCode":"N' || (cust % 25) || '"}},"Network":'
   || {_asn_json("(cust % 7)")} || '}}}}' AS content

@@ -257,7 +257,7 @@ def fleet(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.to_date("ts").alias("date"),
             F.struct(
                 F.concat(F.col("event_type"), (user % 2).cast("string")).alias("Site"),
-                _text("mlab", user % 4).alias("Machine"),
+                _text("node", user % 4).alias("Machine"),
             ).alias("server"),
             F.struct(
                 _user_client(user)["Geo"].alias("Geo"), _user_client(user)["Network"].alias("Network")
@@ -294,7 +294,7 @@ def connections(spark: SparkSession, sf_dir: str) -> DataFrame:
         time.alias("TestTime"),
         F.struct(
             F.when(order % 17 == 0, "").otherwise(_text("site", F.col("o_custkey") % 5)).alias("Site"),
-            F.lit("mlab1").alias("Machine"),
+            F.lit("node1").alias("Machine"),
             F.when(order % 19 != 0, place).alias("Geo"),
             _network(F.col("o_custkey") % 9).alias("Network"),
         ).alias("ServerX"),
