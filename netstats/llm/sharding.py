@@ -69,7 +69,7 @@ def balanced(groups: DataFrame, shards: int, items: int = ITEMS) -> tuple[DataFr
         large.alias("large"), F.when(large, F.col("node")).otherwise(bundle(F.col("node"), items)).alias("node"), "bytes"
     )
     weights = weights.groupBy("large", "node").agg(F.sum("bytes").alias("bytes"))
-    placed = weights.groupBy(F.lit(0)).applyInPandas(run, "large boolean, node long, shard int")
+    placed = weights.withColumn("all", F.lit(True)).groupBy("all").applyInPandas(run, "large boolean, node long, shard int")
     placed = cut(placed)
     return (
         placed.where("large").select("node", F.col("shard").alias("own_shard")),
