@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from netstats.llm.bpe import token_digests
+from netstats.llm.decontaminate import contaminated
 from netstats.llm.exact import content_groups
 from netstats.llm.language import identify
+from netstats.llm.quality import resample
 from netstats.llm.sharding import shard_by_bytes
 from netstats.llm.simhash import hex_print, near_duplicates
 
@@ -26,19 +30,35 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_by_bytes(_read(spark, sf_dir, "documents"), shards=24)
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_groups(_read(spark, sf_dir, "documents"))
 
 
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digests(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(_read(spark, sf_dir, "documents"))
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contaminated(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"), threshold=0.8)
+    return found.select("doc_id", (F.col("n_items") > 0).alias("contaminated"), "n_items", "first_item")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op3_sharding": op3_sharding,
+    "op5_quality": op5_quality,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_bpe": op7_bpe,
     "op8_language": op8_language,
+    "op9_decontaminate": op9_decontaminate,
 }
 
 ORACLES = {
@@ -53,4 +73,28 @@ ORACLES = {
             FROM d)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256
         FROM k""",
+    "op9_decontaminate": r"""
+        WITH t AS (
+            SELECT DISTINCT text FROM documents WHERE text IS NOT NULL),
+        i AS (
+            SELECT DISTINCT item_id, text FROM benchmark WHERE text IS NOT NULL),
+        tw AS (
+            SELECT text, list_filter(regexp_split_to_array(lower(text), '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM t),
+        iw AS (
+            SELECT item_id, text AS item, list_filter(regexp_split_to_array(lower(text), '[\x20\x09-\x0D]+'), x -> x <> '') AS w
+            FROM i),
+        ts AS (
+            SELECT DISTINCT text, array_to_string(w[g : least(g + 4, len(w))], ' ') AS s
+            FROM tw, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS u(g) WHERE len(w) > 0),
+        iss AS (
+            SELECT DISTINCT item_id, item, array_to_string(w[g : least(g + 4, len(w))], ' ') AS s
+            FROM iw, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS u(g) WHERE len(w) > 0),
+        n AS (SELECT item_id, item, count(*) AS n FROM iss GROUP BY ALL),
+        k AS (
+            SELECT text, item_id, item, count(*) AS k FROM ts JOIN iss USING (s) GROUP BY ALL),
+        f AS (
+            SELECT text, count(DISTINCT item_id) AS n_items, min(item_id) AS first_item
+            FROM k JOIN n USING (item_id, item) WHERE k >= ceil(round(n * 0.8, 9)) GROUP BY text)
+        SELECT doc_id, coalesce(n_items, 0) > 0 AS contaminated, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, first_item
+        FROM documents LEFT JOIN f USING (text)""",
 }
