@@ -15,6 +15,7 @@ from netstats.llm.language import identify
 from netstats.llm.quality import resample
 from netstats.llm.sharding import shard_by_bytes
 from netstats.llm.simhash import hex_print, near_duplicates
+from netstats.llm.warc import archived
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -51,6 +52,10 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (F.col("n_items") > 0).alias("contaminated"), "n_items", "first_item")
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived(_read(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op3_sharding": op3_sharding,
@@ -59,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_bpe": op7_bpe,
     "op8_language": op8_language,
     "op9_decontaminate": op9_decontaminate,
+    "op10_warc": op10_warc,
 }
 
 ORACLES = {
@@ -79,9 +85,9 @@ ORACLES = {
         i AS (
             SELECT DISTINCT item_id, text FROM benchmark WHERE text IS NOT NULL),
         tw AS (
-            SELECT text, list_filter(regexp_split_to_array(lower(text), '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM t),
+            SELECT text, list_filter(regexp_split_to_array(lower(text), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM t),
         iw AS (
-            SELECT item_id, text AS item, list_filter(regexp_split_to_array(lower(text), '[\x20\x09-\x0D]+'), x -> x <> '') AS w
+            SELECT item_id, text AS item, list_filter(regexp_split_to_array(lower(text), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
             FROM i),
         ts AS (
             SELECT DISTINCT text, array_to_string(w[g : least(g + 4, len(w))], ' ') AS s
@@ -97,4 +103,14 @@ ORACLES = {
             FROM k JOIN n USING (item_id, item) WHERE k >= ceil(round(n * 0.8, 9)) GROUP BY text)
         SELECT doc_id, coalesce(n_items, 0) > 0 AS contaminated, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, first_item
         FROM documents LEFT JOIN f USING (text)""",
+    "op10_warc": """
+        WITH p AS (
+            SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+            FROM pages),
+        f AS (
+            SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first
+            FROM p)
+        SELECT page_id, payload_bytes, payload_digest, CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN first <> page_id THEN first END AS refers_to
+        FROM f""",
 }
