@@ -12,9 +12,11 @@ from netstats.llm.bpe import token_digests
 from netstats.llm.decontaminate import contaminated
 from netstats.llm.exact import content_groups
 from netstats.llm.language import identify
+from netstats.llm.lines import without_repeated_runs
 from netstats.llm.quality import resample
 from netstats.llm.sharding import shard_by_bytes
 from netstats.llm.simhash import hex_print, near_duplicates
+from netstats.llm.substrings import repeats_removed
 from netstats.llm.warc import archived
 
 
@@ -27,10 +29,19 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", hex_print(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats_removed(_read(spark, sf_dir, "documents"), width=35)
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_by_bytes(_read(spark, sf_dir, "documents"), shards=24)
 
 
+def op4_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = without_repeated_runs(_read(spark, sf_dir, "documents"), min_lines=3)
+    return kept.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
@@ -58,7 +69,9 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_substrings": op2_substrings,
     "op3_sharding": op3_sharding,
+    "op4_lines": op4_lines,
     "op5_quality": op5_quality,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_bpe": op7_bpe,
@@ -68,6 +81,25 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES = {
+    "op4_lines": """
+        WITH d AS (
+            SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents WHERE text <> ''),
+        w AS (
+            SELECT doc_id, i, array_to_string(lines[i : i + 2], chr(10)) AS run
+            FROM d, unnest(range(1, len(lines) - 1)) AS u(i)),
+        later AS (
+            SELECT doc_id, i FROM w QUALIFY row_number() OVER (PARTITION BY run ORDER BY doc_id, i) > 1),
+        gone AS (
+            SELECT DISTINCT doc_id, i + o AS i FROM later, (VALUES (0), (1), (2)) AS v(o)),
+        l AS (
+            SELECT doc_id, i, lines[i] AS line FROM d, unnest(range(1, len(lines) + 1)) AS u(i)),
+        k AS (
+            SELECT l.doc_id, count(*) AS n_lines, count(gone.i) AS n_removed,
+                   coalesce(string_agg(line, chr(10) ORDER BY l.i) FILTER (WHERE gone.i IS NULL), '') AS kept
+            FROM l LEFT JOIN gone ON l.doc_id = gone.doc_id AND l.i = gone.i GROUP BY l.doc_id)
+        SELECT documents.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed,
+               sha256(coalesce(kept, '')) AS kept_sha256
+        FROM documents LEFT JOIN k USING (doc_id)""",
     "op6_exact_dedup": r"""
         WITH d AS (
             SELECT doc_id, length(coalesce(text, '')) AS n,
