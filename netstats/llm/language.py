@@ -17,7 +17,7 @@ DICTIONARY_BYTES = 65_536
 TRAINING_DOCS, TRAINING_CHARS = 400, 8_192
 #: A text is compressed in pieces of so many bytes, so that the dictionary, not the text's own past, decides.
 PIECE_BYTES = 2_048
-LEVEL = 3
+LEVEL = 5
 #: A relative lead below this over the second language rejects a prediction.
 MARGIN = 0.01
 
@@ -39,7 +39,7 @@ def dictionaries(docs: DataFrame, held: Column) -> dict[str, bytes]:
     sample = usable.select("doc_id", "lang", "text").join(F.broadcast(picked), ["doc_id", "lang"])
     texts: dict[str, dict] = {}
     for row in sample.orderBy("lang", "doc_id", "text").toLocalIterator():
-        texts.setdefault(row["lang"], {})[row["doc_id"]] = row["text"].encode()
+        texts.setdefault(row["lang"], {})[row["doc_id"]] = row["text"].lower().encode()
     out = {}
     for lang, found in texts.items():
         share = DICTIONARY_BYTES // len(found)
@@ -57,7 +57,7 @@ def pieces(text: bytes) -> Iterator[bytes]:
 def classify(docs: DataFrame, known: dict[str, bytes]) -> DataFrame:
     """doc_id, lang_pred, score and rejected for every row of `docs`.
 
-    The language whose dictionary compresses the whole text to the fewest bytes wins; equal sizes go to the first in
+    The language whose dictionary compresses the whole text, in lower case, to the fewest bytes wins; equal sizes go to the first in
     alphabetical order. score is the lead over the second language as a share of the smallest size, mapped to 0..1 by
     lead / (lead + MARGIN); with one language it is 1. A lead below MARGIN is `rejected`, and
     lang_pred still names the best. Null texts and texts without a letter are `und` with
@@ -79,7 +79,7 @@ def classify(docs: DataFrame, known: dict[str, bytes]) -> DataFrame:
                     scores.append(0.0)
                     rejected.append(True)
                     continue
-                parts = list(pieces(text.encode()))
+                parts = list(pieces(text.lower().encode()))
                 sizes = np.array([sum(len(f(x)) for x in parts) for f in tools])
                 best = int(sizes.argmin())
                 second = np.delete(sizes, best).min() if len(langs) > 1 else None
