@@ -18,7 +18,7 @@ from netstats.llm.shared import shared_folder
 
 #: Words of the grams that stand for a window.
 GRAM = 8
-#: An anchor that occurs more often is hot: its windows are counted one by one.
+#: An anchor that occurs more often is hot: its segments and windows are counted.
 HOT = 2_000
 #: Words in a reference shard, about; windows in a segment, at most.
 SHARD_WORDS, SEGMENT = 60_000, 256
@@ -147,14 +147,17 @@ def _anchor_rows(texts: DataFrame, width: int) -> DataFrame:
 
 
 #: What the second reading of a text gives, by kind: D a document without repeats, R one with possible repeats,
-#: S a segment of an anchor, W a window of a hot anchor.
-_PARTS = "kind string, n_words long, kept_sha256 string, text string, key binary, m long, words string, window binary, start long"
+#: S a segment of an anchor, H one of a hot anchor, as its hash and those of its windows.
+_PARTS = (
+    "kind string, n_words long, kept_sha256 string, text string, key binary, m long, words string, "
+    "segment binary, windows array<binary>, start long"
+)
 
 
 def _parts(docs: DataFrame, id_type: T.DataType, width: int) -> DataFrame:
     schema = T.StructType([T.StructField("doc_id", id_type), *T._parse_datatype_string(_PARTS).fields])
     names = [f.name for f in schema]
-    kinds = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.binary(), pa.int64(), pa.string(), pa.binary(), pa.int64()]
+    kinds = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.binary(), pa.int64(), pa.string(), pa.binary(), pa.list_(pa.binary()), pa.int64()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -163,19 +166,19 @@ def _parts(docs: DataFrame, id_type: T.DataType, width: int) -> DataFrame:
                 words = _split(text)
                 ids.append(i)
                 if len(words) < width or not (light or hot):
-                    rows.append(("D", len(words), hashlib.sha256(b" ".join(words)).hexdigest(), None, None, None, None, None, None))
+                    rows.append(("D", len(words), hashlib.sha256(b" ".join(words)).hexdigest(), *[None] * 7))
                     continue
                 key = hashlib.md5(text.encode()).digest()
-                rows.append(("R", len(words), None, text, key, None, None, None, None))
+                rows.append(("R", len(words), None, text, key, *[None] * 5))
                 starts, ends = runs(least := anchors(words, width)[0])
                 of = least[starts]
                 for a, b in zip(*(x[np.isin(of, light or [])].tolist() for x in (starts, ends)), strict=True):
                     segment = b" ".join(words[a : b + width - 1]).decode()
-                    rows.append(("S", None, None, None, key, int(least[a]), segment, None, a))
+                    rows.append(("S", None, None, None, key, int(least[a]), segment, None, None, a))
                 for a, b in zip(*(x[np.isin(of, hot or [])].tolist() for x in (starts, ends)), strict=True):
-                    for at in range(a, b):
-                        window = xxhash.xxh3_128_digest(b" ".join(words[at : at + width]))
-                        rows.append(("W", None, None, None, key, None, None, window, at))
+                    segment = xxhash.xxh3_128_digest(b" ".join(words[a : b + width - 1]))
+                    windows = [xxhash.xxh3_128_digest(b" ".join(words[i : i + width])) for i in range(a, b)]
+                    rows.append(("H", None, None, None, key, None, None, segment, windows, a))
                 ids += [None] * (len(rows) - len(ids))
             columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(ids, pa.int64())), *columns], names)
@@ -243,6 +246,25 @@ def _stream(segments: DataFrame, width: int) -> DataFrame:
     return ordered.mapInArrow(run, "key binary, low long, high long")
 
 
+def _counted(segments: DataFrame, width: int) -> DataFrame:
+    """(key, low, high): as `_stream`, for hot anchors, by counting.
+
+    Equal segments are counted before the shuffle; of those that have a copy, all windows do. Only the windows of the
+    others are looked up among the windows of all distinct segments.
+    """
+    distinct = segments.groupBy("segment").agg(F.count("*").alias("copies"), F.first("windows").alias("windows"))
+    windows = distinct.select("segment", "copies", F.posexplode("windows").alias("at", "window"))
+    again = windows.groupBy("window").agg(F.sum("copies").alias("n")).where("n > 1").select("window")
+    alone = windows.where("copies = 1").join(again, "window").groupBy("segment").agg(F.collect_set("at").alias("found"))
+    places = segments.select("segment", "key", "start", F.size("windows").alias("n"))
+    low = F.col("start")
+    whole = places.join(distinct.where("copies > 1").select("segment"), "segment").select(
+        "key", low.alias("low"), (low + F.col("n") + width - 1).alias("high")
+    )
+    some = places.join(alone, "segment").select("key", low, F.explode("found").alias("at"))
+    return whole.unionByName(some.select("key", (low + F.col("at")).alias("low"), (low + F.col("at") + width).alias("high")))
+
+
 def _finish(docs: DataFrame) -> DataFrame:
     names = ["doc_id", "n_words", "n_removed", "kept_sha256"]
     kinds = [T.LongType(), T.LongType(), T.StringType()]
@@ -277,8 +299,8 @@ def repeats_removed(docs: DataFrame, width: int = 35, hot: int = HOT) -> DataFra
     with one anchor is a segment. An anchor whose gram occurs once cannot belong to a repeated window. Segments
     of the others are dealt to tasks by anchor, where reference shards of bounded size become suffix automata,
     and the segments are streamed through the shard that holds their anchor. Each window is judged by the
-    automaton that has all windows equal to it. Windows of an anchor with more than `hot` occurrences would make one shard
-    too large: these are counted by 128-bit hash, combined before the shuffle.
+    automaton that has all windows equal to it. Segments of an anchor with more than `hot` occurrences would make one shard
+    too large: these, and then their windows, are counted by 128-bit hash, combined before the shuffle.
     """
     spark, id_type = docs.sparkSession, docs.schema["doc_id"].dataType
     folder = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
@@ -292,10 +314,7 @@ def repeats_removed(docs: DataFrame, width: int = 35, hot: int = HOT) -> DataFra
         .agg(F.collect_set(F.when(light, F.col("m"))).alias("light"), F.collect_set(F.when(heavy, F.col("m"))).alias("hot"))
     )
     parts = _written(_parts(texts.join(flags, "k", "left").select("doc_id", "text", "light", "hot"), id_type, width), f"{folder}/parts")
-    windows = parts.where("kind = 'W'").select("window", "key", "start")
-    again = windows.groupBy("window").agg(F.count("*").alias("n")).where("n > 1").select("window")
-    counted = windows.join(again, "window").select("key", F.col("start").alias("low"), (F.col("start") + width).alias("high"))
-    spans = _stream(parts.where("kind = 'S'"), width).unionByName(counted)
+    spans = _stream(parts.where("kind = 'S'"), width).unionByName(_counted(parts.where("kind = 'H'"), width))
     by_text = spans.groupBy("key").agg(F.collect_set(F.struct("low", "high")).alias("spans"))
     suspects = parts.where("kind = 'R'").select("doc_id", "text", "key").join(by_text, "key", "left")
     clean = parts.where("kind = 'D'").select("doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"), "kept_sha256")
