@@ -23,8 +23,11 @@ def fingerprint(text: Column, method: str = "md5") -> Column:
 
 
 def slice_of(fp: Column, slices: Column) -> Column:
-    """Index of the equal slice of the fingerprint space that `fp` falls in (order-preserving)."""
-    at = F.floor(fp.cast("double") / F.lit(float(1 << BITS)) * slices)
+    """Index of the equal slice of the fingerprint space that `fp` falls in (order-preserving).
+
+    NULL sorts first and so belongs to the first slice.
+    """
+    at = F.floor(F.coalesce(fp, F.lit(0)).cast("double") / F.lit(float(1 << BITS)) * slices)
     return F.least(at, slices - 1).cast("bigint")
 
 

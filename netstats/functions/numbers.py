@@ -16,6 +16,11 @@ def steady_round(value: str, digits: int) -> str:
     return f"round(round({value}, 9), {digits})"
 
 
+def plain_round(value: str, digits: int) -> str:
+    """Round half up, once: for values that are picked, not computed."""
+    return f"round({value}, {digits})"
+
+
 def log_mean(value: str, condition: str = "true") -> str:
     """Geometric mean; values of zero or less are ignored."""
     return f"pow(10D, avg(CASE WHEN {condition} AND {value} > 0 THEN log10({value}) END))"

@@ -11,14 +11,10 @@ class Limits:
 
     tests_per_group    rows one task may sort as a single group
     samples_per_group  values one exact percentile aggregate may hold
-    broadcast_rows     rows of a side that may be broadcast
-    salts              pieces a hot join key is cut into when its lookup is not broadcast
     """
 
     tests_per_group: int = 1_000_000
     samples_per_group: int = 1_000_000
-    broadcast_rows: int = 500_000
-    salts: int = 64
 
 
 DEFAULT = Limits()

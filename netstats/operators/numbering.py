@@ -28,23 +28,27 @@ def number(
     put together from slices.
     """
     if rows_at_most is not None and rows_at_most <= limits.tests_per_group:
-        return _by_window(rows, groups, size)
+        return _by_window(rows, groups, size, coarse)
     hot = hot_groups(rows, coarse, limits.tests_per_group, "_group_rows")
     if hot is None:
-        return _by_window(rows, groups, size)
-    ordinary, large = split_hot(rows, hot, coarse, F.col("fp"), limits)
+        return _by_window(rows, groups, size, coarse)
+    ordinary, large = split_hot(rows, hot, coarse)
     slices = F.ceil(F.col("_group_rows") / F.lit(limits.tests_per_group))
     large = large.withColumn("_slice", slice_of(F.col("fp"), slices)).drop("_group_rows")
     for name, keys in groups.items():
         large = _by_slices(large, name, keys, size)
-    return _by_window(ordinary, groups, size).unionByName(large.drop("_slice"))
+    return _by_window(ordinary, groups, size, coarse).unionByName(large.drop("_slice"))
 
 
 def _order(size: str) -> list[Column]:
     return [F.col(size).desc(), F.col("fp")]
 
 
-def _by_window(rows: DataFrame, groups: Mapping[str, Sequence[str]], size: str) -> DataFrame:
+def _by_window(
+    rows: DataFrame, groups: Mapping[str, Sequence[str]], size: str, coarse: Sequence[str]
+) -> DataFrame:
+    """Rows are brought together once, by what all groups have in common."""
+    rows = rows.repartition(*coarse)
     for name, keys in groups.items():
         together = Window.partitionBy(*keys)
         rows = rows.withColumn(

@@ -42,7 +42,7 @@ def draw(
     if hot_addresses is None:
         return _draw_by_sorting(rows, group)
     address = ["date", "direction", "ip"]
-    ordinary, hot = split_hot(rows, hot_addresses, address, F.col("fp"), limits)
+    ordinary, hot = split_hot(rows, hot_addresses, address)
     return _draw_by_sorting(ordinary, group).unionByName(_draw_by_slices(hot, group, limits))
 
 

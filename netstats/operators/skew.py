@@ -10,8 +10,6 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from netstats.limits import DEFAULT, Limits
-
 
 def same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     """Null-safe equality of all keys; Spark still plans it as an equi-join."""
@@ -21,7 +19,12 @@ def same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
 def join_null_safe(
     left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner"
 ) -> DataFrame:
-    """Join on keys where NULL equals NULL; the keys appear once, from the left."""
+    """Join on keys where NULL equals NULL; the keys appear once, from the left.
+
+    This is also how rows meet a lookup whose keys are hot in them. It needs no look at the data
+    first: at run time Spark broadcasts a small lookup, and divides the large partitions of
+    a shuffled join.
+    """
     other = right.select(
         *[F.col(k).alias(f"_right_{k}") for k in keys], *[c for c in right.columns if c not in keys]
     )
@@ -32,34 +35,6 @@ def join_null_safe(
     )
 
 
-def fits(df: DataFrame, rows: int) -> bool:
-    """Whether a frame has at most `rows` rows; counts no further than one more."""
-    return df.limit(rows + 1).count() <= rows
-
-
-def lookup_join(
-    big: DataFrame,
-    small: DataFrame,
-    keys: Sequence[str],
-    spread_by: Column,
-    limits: Limits = DEFAULT,
-    how: str = "inner",
-) -> DataFrame:
-    """Join a large frame to a lookup whose keys may be hot in the large one.
-
-    The lookup is kept, counted, and broadcast if it is small. Otherwise each of
-    its rows is repeated once per salt and the large side picks a salt from
-    `spread_by`, so that the rows of a hot key meet in many tasks.
-    """
-    small = small.persist(StorageLevel.MEMORY_AND_DISK)
-    if fits(small, limits.broadcast_rows):
-        return join_null_safe(big, F.broadcast(small), keys, how)
-    salts = F.array(*[F.lit(i) for i in range(limits.salts)])
-    salted = small.withColumn("_salt", F.explode(salts))
-    picked = big.withColumn("_salt", F.pmod(spread_by, F.lit(limits.salts)).cast("int"))
-    return join_null_safe(picked, salted, [*keys, "_salt"], how).drop("_salt")
-
-
 def hot_groups(
     df: DataFrame, keys: Sequence[str], limit: int, counted_as: str = "tests"
 ) -> DataFrame | None:
@@ -73,10 +48,10 @@ def hot_groups(
 
 
 def split_hot(
-    df: DataFrame, hot: DataFrame, keys: Sequence[str], spread_by: Column, limits: Limits
+    df: DataFrame, hot: DataFrame, keys: Sequence[str]
 ) -> tuple[DataFrame, DataFrame]:
     """(rows of ordinary groups, rows of hot groups with the group's row count)."""
-    marked = lookup_join(df, hot, keys, spread_by, limits, how="left")
+    marked = join_null_safe(df, hot, keys, "left")
     counted = next(c for c in hot.columns if c not in keys)
     return marked.where(F.col(counted).isNull()).drop(counted), marked.where(
         F.col(counted).isNotNull()

@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from netstats.functions.geometry import edges, within
-from netstats.limits import DEFAULT, Limits
-from netstats.operators.skew import lookup_join
+from netstats.operators.skew import join_null_safe
 
 # Grids whose cells are 2^-8 to 2^8 degrees wide. A polygon lies in the finest one
 # whose cells are no smaller than the polygon, so it touches at most four cells.
@@ -98,20 +97,22 @@ def locate_points(points: DataFrame, boundaries: DataFrame) -> DataFrame:
     )
 
 
-def attach_boundary(
-    cleaned: DataFrame, boundaries: DataFrame, limits: Limits = DEFAULT
-) -> DataFrame:
-    """Cleaned tests with GEOID and the names of the polygon they lie in.
+def located(cleaned: DataFrame, boundaries: DataFrame) -> DataFrame:
+    """(lon, lat, GEOID, names): the polygons around each distinct coordinate of the tests.
 
     Coordinates come from address databases and repeat a great deal, so the exact
-    test runs once per distinct point; the result is a lookup on (lon, lat).
+    test runs once per distinct point, and one lookup serves all levels of a layer.
     """
     names = [c for c in boundaries.columns if c not in ("geo_id", "rings")]
     found = locate_points(cleaned, boundaries)
-    lookup = found.join(boundaries.select("geo_id", *names), "geo_id").withColumnRenamed(
+    return found.join(boundaries.select("geo_id", *names), "geo_id").withColumnRenamed(
         "geo_id", "GEOID"
     )
-    return lookup_join(cleaned, lookup, ["lon", "lat"], F.col("fp"), limits)
+
+
+def attach_boundary(cleaned: DataFrame, lookup: DataFrame) -> DataFrame:
+    """Cleaned tests with what a lookup made by `located` says of their coordinates."""
+    return join_null_safe(cleaned, lookup, ["lon", "lat"])
 
 
 def dissolve(pieces: DataFrame, by: str, copy: tuple[str, ...] = ()) -> DataFrame:

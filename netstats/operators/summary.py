@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from netstats.functions import buckets
-from netstats.functions.numbers import log_mean, quoted, steady_round
+from netstats.functions.numbers import log_mean, plain_round, quoted, steady_round
 from netstats.operators.quantiles import (
     Quantile,
     counted_quantiles,
@@ -100,13 +100,21 @@ def daily_statistics(
         *map(quoted, by),
         *counts,
         *[
-            c if c.endswith("samples_day") else f"{steady_round(c, 3)} AS {c}"
+            _rounded(c)
             for short in DIRECTIONS
             for c in daily_columns(short)
         ],
     )
 
 
+def _rounded(column: str) -> str:
+    """Means are steadied first; minima, maxima and quantiles are values of the data."""
+    if column.endswith("samples_day"):
+        return column
+    rounding = steady_round if "AVG" in column else plain_round
+    return f"{rounding(column, 3)} AS {column}"
+
+
 def _aliased(texts: dict[str, str]) -> list[Column]:
     return [F.expr(f"{text} AS `{name}`") for name, text in texts.items()]
 

@@ -13,7 +13,7 @@ from netstats.limits import DEFAULT, Limits
 from netstats.operators.clean import between_dates
 from netstats.operators.numbering import number
 from netstats.operators.quantiles import Quantile, counted_quantiles, ranked_value, with_ranks
-from netstats.operators.skew import join_null_safe, lookup_join
+from netstats.operators.skew import join_null_safe
 
 # Addresses of the platform's own monitoring clients, the metadata
 # names clients report, and the shape of a test ID that carries a version.
@@ -124,7 +124,7 @@ def numbered(
     )
 
 
-def metro_frequency(rows: DataFrame, limits: Limits = DEFAULT) -> DataFrame:
+def metro_frequency(rows: DataFrame) -> DataFrame:
     """Tests per day that an endpoint makes in a metro, per direction.
 
     The tests are counted per endpoint, the days per metro over all endpoints.
@@ -134,9 +134,7 @@ def metro_frequency(rows: DataFrame, limits: Limits = DEFAULT) -> DataFrame:
     tests = keyed.groupBy("Metro", "endpointHash", "isDownload").agg(
         F.count(F.lit(1)).alias("tests")
     )
-    # There are few metros, so a shuffle by metro would end in few tasks.
-    spread_by = F.xxhash64("endpointHash")
-    return lookup_join(tests, days, ["Metro", "isDownload"], spread_by, limits).select(
+    return join_null_safe(tests, days, ["Metro", "isDownload"]).select(
         "Metro", "endpointHash", "isDownload", (F.col("tests") / F.col("days")).alias("metroFrequency")
     )
 
@@ -146,11 +144,11 @@ def panel(rows: DataFrame, start: str, end: str) -> DataFrame:
     return between_dates(rows, start, end).where(~F.col("client.isMonitoring"))
 
 
-def rated(rows: DataFrame, limits: Limits = DEFAULT) -> DataFrame:
+def rated(rows: DataFrame) -> DataFrame:
     """Panel rows with the test rate of their endpoint."""
     keyed = rows.withColumn("Metro", F.col("server.Metro"))
     on = ["Metro", "endpointHash", "isDownload"]
-    return lookup_join(keyed, metro_frequency(rows, limits), on, F.col("fp"), limits).drop("Metro")
+    return join_null_safe(keyed, metro_frequency(rows), on).drop("Metro")
 
 
 def first_samples(rows: DataFrame) -> DataFrame:
@@ -280,8 +278,7 @@ def fleet_health(
         rows_at_most = largest_panel(rows)
     on = ["Metro", "endpointHash", "isDownload"]
     sampled = first_samples(rows).withColumn("Metro", F.col("server.Metro"))
-    # A busy endpoint keeps few samples, so this join needs no salt.
-    samples = _sample_columns(join_null_safe(sampled, metro_frequency(rows, limits), on))
+    samples = _sample_columns(join_null_safe(sampled, metro_frequency(rows), on))
     if rows_at_most > limits.samples_per_group:
         stats = join_null_safe(
             samples.groupBy(*KEYS).agg(*_aggregates()),

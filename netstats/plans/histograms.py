@@ -14,7 +14,7 @@ from netstats.limits import DEFAULT, Limits
 from netstats.operators.clean import clean, level_rows
 from netstats.operators.sampling import draw
 from netstats.operators.skew import hot_groups, profile
-from netstats.operators.spatial import attach_boundary
+from netstats.operators.spatial import attach_boundary, located
 from netstats.operators.summary import daily_statistics, histogram
 from netstats.schema import histogram_columns
 
@@ -51,18 +51,30 @@ def prepare(
     return Prepared(rows, hot, found.addresses_per_day > limits.samples_per_group)
 
 
+def layer_lookup(rows: DataFrame, boundaries: Mapping[str, DataFrame], layer: str) -> DataFrame:
+    """The polygons of a layer around each coordinate, with the columns that its levels take as keys."""
+    attributes = {a for level in LEVELS.values() if level.boundary == layer for a in level.attributes}
+    return located(rows, boundaries[layer].drop(*attributes))
+
+
 def draws(
     level: Level | str,
     prepared: Prepared,
     boundaries: Mapping[str, DataFrame] | None = None,
     limits: Limits = DEFAULT,
+    lookups: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
-    """The two drawn tests of every (date, direction, keys, ip) of a level."""
+    """The two drawn tests of every (date, direction, keys, ip) of a level.
+
+    `lookups` has what `layer_lookup` made, for layers that several levels use.
+    """
     level = LEVELS[level] if isinstance(level, str) else level
     rows = prepared.rows
     if level.boundary:
-        layer = boundaries[level.boundary].drop(*level.attributes)
-        rows = attach_boundary(rows, layer, limits)
+        lookup = (lookups or {}).get(level.boundary)
+        if lookup is None:
+            lookup = layer_lookup(rows, boundaries, level.boundary)
+        rows = attach_boundary(rows, lookup)
     return draw(level_rows(level, rows), level.keys, prepared.hot_addresses, limits)
 
 
@@ -72,6 +84,7 @@ def level_histogram(
     boundaries: Mapping[str, DataFrame] | None = None,
     quartiles: str = "published",
     limits: Limits = DEFAULT,
+    lookups: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
     """The histogram table of one level.
 
@@ -80,7 +93,7 @@ def level_histogram(
     final eight rows per day.
     """
     level = LEVELS[level] if isinstance(level, str) else level
-    drawn = draws(level, prepared, boundaries, limits)
+    drawn = draws(level, prepared, boundaries, limits, lookups)
     daily = daily_statistics(drawn, level.keys, quartiles, prepared.spread_quantiles)
     if level.attributes:
         names = boundaries[level.boundary].select(

@@ -55,7 +55,9 @@ def random_rows(spark, n, partitions=3):
         .when(i % 2 == 0, "hot")
         .otherwise(F.concat(F.lit("ip"), (i % 11).cast("string")))
         .alias("ip"),
-        F.expr("CAST(conv(substring(md5(CAST(id % 150 AS STRING)), 1, 15), 16, 10) AS BIGINT)").alias("fp"),
+        F.expr(
+            "CASE WHEN id % 17 > 0 THEN CAST(conv(substring(md5(CAST(id % 150 AS STRING)), 1, 15), 16, 10) AS BIGINT) END"
+        ).alias("fp"),
         (i % 37 / F.lit(4.0) + 0.5).alias("mbps"),
         F.when(i % 5 > 0, (i % 13).cast("double")).alias("MinRTT"),
     )

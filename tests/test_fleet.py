@@ -67,9 +67,7 @@ def test_hot_clients_get_the_same_numbers(spark):
     normal = fleet.normalise(rows)
     columns = ["ID", *[f"{g}{w}" for g in fleet.GROUPS for w in ("Sample", "Count")]]
     windows = as_set(fleet.numbered(normal).select(columns))
-    for broadcast in (1000, 0):
-        limits = Limits(tests_per_group=20, broadcast_rows=broadcast, salts=3)
-        assert as_set(fleet.numbered(normal, limits).select(columns)) == windows
+    assert as_set(fleet.numbered(normal, Limits(tests_per_group=20)).select(columns)) == windows
 
 
 def test_longer_tests_come_first(spark):
@@ -86,8 +84,6 @@ def test_rate_counts_all_days_of_the_metro(spark):
     normal = fleet.panel(fleet.normalise(frame(spark, rows)), "2024-03-01", "2024-03-31")
     rates = {r.ID: r.metroFrequency for r in fleet.rated(normal).collect()}
     assert rates == {**{f"ndt-a-{i}": 3.0 for i in range(6)}, "ndt-a-9": 0.5}
-    salted = fleet.rated(normal, Limits(broadcast_rows=0, salts=3))
-    assert {r.ID: r.metroFrequency for r in salted.collect()} == rates
 
 
 def test_samples_per_machine(spark):

@@ -4,15 +4,16 @@ import pytest
 from helpers import as_set, both_directions, fp_of, random_rows, speed_test, frame_of
 from pyspark.sql import functions as F
 
-from netstats.levels import LEVELS
+from netstats.levels import LEVELS, REGION
 from netstats.limits import Limits
 from netstats.operators.sampling import FIRST, SECOND, draw, pair
 from netstats.operators.skew import hot_groups
 from netstats.operators.summary import daily_statistics, histogram
 from netstats.plans.histograms import level_histogram, prepare
 from netstats.schema import histogram_columns
+from netstats.sources.geography import boundaries_from_wkt
 
-TINY = Limits(tests_per_group=10, samples_per_group=5, broadcast_rows=1, salts=4)
+TINY = Limits(tests_per_group=10, samples_per_group=5)
 
 
 def continents(spark, rows, **options):
@@ -39,10 +40,9 @@ def test_draws_do_not_depend_on_partitioning(spark):
     assert as_set(one) == as_set(many)
 
 
-@pytest.mark.parametrize("broadcast", [1, 1000])
-def test_hot_addresses_give_the_same_draws(spark, broadcast):
+def test_hot_addresses_give_the_same_draws(spark):
     rows = random_rows(spark, 1500)
-    limits = Limits(tests_per_group=10, broadcast_rows=broadcast, salts=4)
+    limits = Limits(tests_per_group=10)
     hot = hot_groups(rows, ["date", "direction", "ip"], limits.tests_per_group)
     assert hot is not None and hot.where("ip IS NULL").count() == 2
     spread = draw(rows, ["key"], hot, limits)
@@ -154,8 +154,6 @@ def test_region_codes(spark, subdivision, region, code):
 @pytest.mark.parametrize("name", LEVELS)
 def test_keys_must_be_present(spark, name):
     level = LEVELS[name]
-    if level.boundary:
-        pytest.skip("covered with polygons")
     columns = {"continent_code": "ContinentCode", "country_code": "CountryCode", "city": "City"}
     good = speed_test(1, 1.0)
     rows = [good]
@@ -165,7 +163,21 @@ def test_keys_must_be_present(spark, name):
                 rows.append(speed_test(2, 1.0, **{columns[key]: bad}))
     if "asn" in level.keys:
         rows.append(speed_test(3, 1.0, asn=None))
-    found = level_histogram(name, prepare(frame_of(spark, both_directions(rows))))
+    layers = {}
+    if level.boundary:
+        # One good polygon around all tests, and for each name the layer supplies one that lacks it.
+        named = {k: "n" for k in (*level.keys, *level.attributes) if k not in columns and k not in ("GEOID", "asn", REGION)}
+        named = {k: v for k, v in named.items() if k != "state" or level.name.startswith("states")}
+        flawed = [k for k in named if k not in level.attributes]
+        shapes = [{"geo_id": "01", **named}]
+        for key in flawed:
+            shapes += [{"geo_id": f"{key}-null", **named, key: None}]
+            shapes += [{"geo_id": f"{key}-empty", **named, key: ""}] if key not in level.may_be_empty else []
+        schema = ", ".join(f"{k} STRING" for k in shapes[0])
+        layer = spark.createDataFrame([tuple(x.values()) for x in shapes], schema)
+        box = F.lit("POLYGON ((0 0, 1 0, 1 1, 0 1, 0 0))")
+        layers = {level.boundary: boundaries_from_wkt(layer.withColumn("wkt", box), "wkt")}
+    found = level_histogram(name, prepare(frame_of(spark, both_directions(rows))), layers)
     assert found.columns == histogram_columns(list(level.keys), list(level.attributes))
     assert {r.dl_samples_day for r in found.collect()} == {1} and found.count() == 8
 
