@@ -86,14 +86,28 @@ def half_years(statistics: DataFrame) -> DataFrame:
     )
 
 
-def periods_of(first_year: int, last_year: int) -> list[str]:
-    return [f"{y}_{h}" for y in range(first_year, last_year + 1) for h in ("jan_jun", "july_dec")]
+def periods_of(statistics: DataFrame) -> list[str]:
+    """All half-years from the first to the last day of the statistics; two for each year.
+
+    One scan of the dates, which returns one row.
+    """
+    day = F.col("date").cast("date")
+    first, last = statistics.agg(F.min(day), F.max(day)).first()
+    if first is None:
+        return []
+    halves = [(y, h) for y in range(first.year, last.year + 1) for h in (1, 2)]
+    ends = (first.year, 1 + (first.month > 6)), (last.year, 1 + (last.month > 6))
+    names = {1: "jan_jun", 2: "july_dec"}
+    return [f"{y}_{names[h]}" for y, h in halves if ends[0] <= (y, h) <= ends[1]]
 
 
 def wide_half_years(summary: DataFrame, periods: Sequence[str]) -> DataFrame:
-    """One row per geography with columns `{period}_{summary}`."""
+    """One row per geography with columns `{period}_{summary}`; fails on a period that is not listed."""
+    known = F.col("period").isin(list(periods)) if periods else F.lit(False)
+    unknown = F.raise_error(F.concat(F.lit("half-year is not listed: "), "period"))
+    checked = summary.withColumn("period", F.when(known, F.col("period")).otherwise(unknown))
     values = [F.first(c, ignorenulls=True).alias(c) for c in SUMMARIES]
-    return summary.groupBy("geo_id").pivot("period", list(periods)).agg(*values)
+    return checked.groupBy("geo_id").pivot("period", list(periods)).agg(*values)
 
 
 def population_shares(demographics: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from netstats.plans import mapdata
@@ -50,8 +51,14 @@ def test_half_years(spark):
     assert first.percent_over_audio_threshold == 0.8 and first.percent_over_video_threshold == 0.3
     assert second.median_dl == 7.0 and second.median_ul is None
     assert second.percent_over_audio_threshold == 0.0
-    wide = mapdata.wide_half_years(mapdata.half_years(stats), mapdata.periods_of(2020, 2021)).first()
-    assert wide["2020_july_dec_total_dl_samples"] == 5 and wide["2021_jan_jun_median_dl"] is None
+    wide = mapdata.wide_half_years(mapdata.half_years(stats), mapdata.periods_of(stats)).first()
+    assert wide["2020_july_dec_total_dl_samples"] == 5 and "2021_jan_jun_median_dl" not in wide
+    more = ["2020_jan_jun", "2020_july_dec", "2021_jan_jun"]
+    wide = mapdata.wide_half_years(mapdata.half_years(stats), more).first()
+    assert wide["2021_jan_jun_median_dl"] is None
+    with pytest.raises(Exception, match="half-year is not listed: 2020_july_dec"):
+        mapdata.wide_half_years(mapdata.half_years(stats), more[:1]).collect()
+    assert mapdata.periods_of(stats.limit(0)) == []
 
 
 def test_features(spark, tmp_path):
