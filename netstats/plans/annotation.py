@@ -134,6 +134,20 @@ def _present(column: Column, schema) -> Column:
     return column
 
 
+def _always(column: Column, schema) -> Column:
+    """`_present` for a struct that is written even where it is NULL, then as {}."""
+    none = F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return F.coalesce(_present(column, schema), none)
+
+
+def _json(record: Column) -> Column:
+    """JSON text whose whole numbers have no fraction: 1, not 1.0.
+
+    In texts every quotation mark has a backslash, so a bare `":1.0` only follows the name of a field.
+    """
+    return F.regexp_replace(F.to_json(record), r'(?<!\\)(":-?\d+)\.0(?=[,}])', "$1")
+
+
 def _instant(time: Column) -> Column:
     text = F.date_format(time, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     return F.concat(F.regexp_replace(text, r"\.?0+$", ""), F.lit("Z"))
@@ -145,11 +159,10 @@ def connection_files(missing: DataFrame) -> DataFrame:
     record = F.struct(
         "UUID",
         _instant(F.col("Timestamp")).alias("Timestamp"),
-        _present(F.col("Server"), types["Server"].dataType).alias("Server"),
-        _present(F.col("Client"), types["Client"].dataType).alias("Client"),
+        *[_always(F.col(c), types[c].dataType).alias(c) for c in ("Server", "Client")],
     )
     path = F.concat("year_month_day", F.lit("/"), "UUID", F.lit(".json"))
-    return missing.select(path.alias("path"), F.to_json(record).alias("content"))
+    return missing.select(path.alias("path"), _json(record).alias("content"))
 
 
 def hop_files(missing: DataFrame) -> DataFrame:
@@ -165,4 +178,4 @@ def hop_files(missing: DataFrame) -> DataFrame:
         F.coalesce("IP", F.lit("<no value>")),
     )
     path = F.concat("Date", F.lit("/"), name, F.lit(".json"))
-    return missing.select(path.alias("path"), F.to_json(record).alias("content"))
+    return missing.select(path.alias("path"), _json(record).alias("content"))
