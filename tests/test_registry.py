@@ -8,6 +8,8 @@ import pytest
 
 import __spark_entry__ as registry
 from tools.compare import compare, connect
+from workload.oracles import ORACLES
+from workload.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="tables are not here")
@@ -19,8 +21,9 @@ QUICK = [
 ]
 
 
-def test_every_query_has_its_sql():
-    assert set(registry.queries()) == set(registry.oracle_sql())
+def test_every_query_of_the_workload_has_its_sql():
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(registry.queries()) and set(ORACLES) <= set(registry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", QUICK)

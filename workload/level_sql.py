@@ -12,23 +12,42 @@ def r(value: str, digits: int = 3) -> str:
     return f"CAST(round(CAST({value} AS DECIMAL(28, 9)), {digits}) AS DOUBLE)"
 
 
+def r_once(value: str, digits: int = 3) -> str:
+    """Round half up, once, on the shortest decimal text of a double."""
+    return f"CAST(round(CAST(CAST({value} AS VARCHAR) AS DECIMAL(38, 18)), {digits}) AS DOUBLE)"
+
+
 MEASUREMENTS = f"""
 measurements AS (
   SELECT CAST(ts AS DATE) AS date,
     CASE WHEN event_type IN ('view', 'click', 'purchase') THEN 'dl' ELSE 'ul' END AS direction,
-    {FP.format("CAST(event_id AS VARCHAR)")} AS fp,
-    '10.0.' || (user_id // 256) || '.' || (user_id % 256) AS ip,
-    r_name AS continent_code, n_name AS country_code,
-    n_name || '-' || c_mktsegment AS {REGION},
-    'city' || (user_id % 7) AS city,
-    user_id % 9 + 64500 AS asn,
+    CASE WHEN event_id % 29 <> 0 THEN {FP.format(
+        "CASE WHEN event_id % 31 = 0 THEN 'again' || (user_id % 3) ELSE CAST(event_id AS VARCHAR) END"
+    )} END AS fp,
+    CASE WHEN event_id % 37 < 2 THEN NULL
+      WHEN event_id % 37 = 2
+        THEN '2001:0db8:0000:0000:0000:0000:0000:' || lpad(lower(to_hex(user_id % 65536)), 4, '0')
+      ELSE (10 + user_id // 16777216) || '.' || (user_id // 65536 % 256) || '.'
+        || (user_id // 256 % 256) || '.' || (user_id % 256) END AS ip,
+    event_id % 37 <> 0 AS has_ip_text,
+    CASE user_id % 53 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE r_name END AS continent_code,
+    CASE user_id % 59 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE n_name END AS country_code,
+    CASE WHEN user_id % 47 IN (0, 1) THEN NULL WHEN user_id % 47 = 2 OR user_id % 3 = 0 THEN ''
+      WHEN user_id % 3 = 1 THEN 'sub' || (user_id % 5) ELSE c_mktsegment END AS subdivision,
+    CASE WHEN user_id % 47 IN (1, 3) THEN NULL WHEN user_id % 47 = 2 THEN '' ELSE c_mktsegment END AS region_name,
+    country_code || '-' || CASE WHEN subdivision <> '' THEN subdivision ELSE region_name END AS {REGION},
+    (subdivision IS NOT NULL OR region_name IS NOT NULL) AND (subdivision <> '' OR region_name <> '') AS region_available,
+    CASE user_id % 61 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE 'city' || (user_id % 7) END AS city,
+    CASE WHEN user_id % 67 > 0 THEN user_id % 9 + 64500 END AS asn,
     user_id * 7 % 360 - 180 + 0.5 AS lon, user_id * 5 % 180 - 90 + 0.5 AS lat,
-    value AS mbps, CAST(props->>'$.k' AS DOUBLE) AS MinRTT
+    CASE WHEN event_id % 41 = 0 THEN 0 WHEN event_id % 43 = 0 THEN floor(value) + 0.3424999999::DOUBLE
+      ELSE value END AS mbps,
+    CAST(props->>'$.k' AS DOUBLE) AS MinRTT
   FROM events
   JOIN customer ON c_custkey = user_id
   JOIN nation ON n_nationkey = c_nationkey
   JOIN region ON r_regionkey = n_regionkey
-  WHERE value <> 0
+  WHERE mbps <> 0
 )"""
 
 SHIPMENTS = f"""
@@ -36,6 +55,7 @@ measurements AS (
   SELECT CAST(l_shipdate AS DATE) AS date,
     CASE WHEN l_linestatus = 'O' THEN 'dl' ELSE 'ul' END AS direction,
     {FP.format("concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_shipdate AS DATE))")} AS fp,
+    TRUE AS has_ip_text, TRUE AS region_available,
     '10.' || (o_custkey // 65536) || '.' || (o_custkey // 256 % 256) || '.' || (o_custkey % 256) AS ip,
     r_name AS continent_code, n_name AS country_code,
     n_name || '-' || c_mktsegment AS {REGION},
@@ -81,16 +101,21 @@ county_names AS (
 
 
 def located(level: Level) -> str:
-    """CTE `tests`: measurement rows with the level's key columns."""
-    if not level.boundary:
-        return "tests AS (SELECT * FROM measurements)"
+    """CTE `tests`: measurement rows with the level's key columns, as far as these are known."""
+    known = ["has_ip_text" if level.ip_text_only else "ip IS NOT NULL"]
+    if level.has_region:
+        known.append("region_available")
+    for key in level.keys:
+        if key == "asn" or key in level.may_be_empty:
+            known.append(f"{key} IS NOT NULL")
+        elif key != REGION:
+            known.append(f"{key} <> ''")
     state = f"{REGION} AS state, " if level.boundary != "states" else ""
-    return f"""
-tests AS (
+    rows = "SELECT * FROM measurements" if not level.boundary else f"""
   SELECT m.*, {state}b.* EXCLUDE (x, y, w, h)
   FROM measurements m JOIN ({BOXES[level.boundary]}) b
-    ON m.lon BETWEEN b.x AND b.x + b.w AND m.lat BETWEEN b.y AND b.y + b.h
-)"""
+    ON m.lon BETWEEN b.x AND b.x + b.w AND m.lat BETWEEN b.y AND b.y + b.h"""
+    return f"tests AS (SELECT * FROM ({rows}) WHERE {' AND '.join(known)})"
 
 
 def drawn(level: Level) -> str:
@@ -99,7 +124,7 @@ def drawn(level: Level) -> str:
     return f"""
 placed AS (
   SELECT {group}, mbps, MinRTT,
-    row_number() OVER (PARTITION BY {group} ORDER BY fp, mbps, MinRTT NULLS FIRST) - 1 AS place,
+    row_number() OVER (PARTITION BY {group} ORDER BY fp NULLS FIRST, mbps, MinRTT NULLS FIRST) - 1 AS place,
     count(*) OVER (PARTITION BY {group}) AS tests
   FROM tests
 ),
@@ -127,13 +152,13 @@ def stats(level: Level, short: str, long: str, quartiles: tuple[int, int, int])
     {r(_geometric_mean("mbps_rnd2"))} AS {short}_LOG_AVG_rnd2,
     {r(_geometric_mean("MinRTT_rnd1"))} AS {short}_minRTT_LOG_AVG_rnd1,
     {r(_geometric_mean("MinRTT_rnd2"))} AS {short}_minRTT_LOG_AVG_rnd2,
-    {r("min(mbps_rnd1)")} AS {long}_MIN,
-    {r(f"quantile_disc(mbps_rnd1, {q25})")} AS {long}_Q25,
-    {r(f"quantile_disc(mbps_rnd1, {q50})")} AS {long}_MED,
+    {r_once("min(mbps_rnd1)")} AS {long}_MIN,
+    {r_once(f"quantile_disc(mbps_rnd1, {q25})")} AS {long}_Q25,
+    {r_once(f"quantile_disc(mbps_rnd1, {q50})")} AS {long}_MED,
     {r("avg(mbps_rnd1)")} AS {long}_AVG,
-    {r(f"quantile_disc(mbps_rnd1, {q75})")} AS {long}_Q75,
-    {r("max(mbps_rnd1)")} AS {long}_MAX,
-    {r(f"quantile_disc(MinRTT_rnd1, {q50})")} AS {long}_minRTT_MED
+    {r_once(f"quantile_disc(mbps_rnd1, {q75})")} AS {long}_Q75,
+    {r_once("max(mbps_rnd1)")} AS {long}_MAX,
+    {r_once(f"quantile_disc(MinRTT_rnd1, {q50})")} AS {long}_minRTT_MED
   FROM drawn WHERE direction = '{short}' GROUP BY {by}
 )"""
 

@@ -25,7 +25,7 @@ ORACLES["refreshed_table"] = (
     f"SELECT *, CAST(year(date) AS INTEGER) AS year FROM ({level_sql('countries')})"
 )
 
-for _name in ("continents", "countries_asn", "counties"):
+for _name in ("continents", "countries_asn", "regions", "states", "counties"):
     ORACLES[f"level_{_name}_spread"] = level_sql(_name)
 ORACLES["level_states_from_text"] = level_sql("states")
 
@@ -218,7 +218,7 @@ ORACLES["hop_files"] = f"""WITH {_HOPS}
 SELECT strftime(hop_day, '%Y/%m/%d') || '/' || strftime(t, '%Y%m%dT000000Z') || '_'
     || coalesce(host, '<no value>') || '_' || IP || '.json' AS path,
   '{{"ID":"' || ID || '","Timestamp":"' || strftime(t, '%Y-%m-%dT%H:%M:%SZ')
-  || '","Annotations":{{"Geo":{{"CountryCode":"' || country || '","Longitude":2.0}},"Network":'
+  || '","Annotations":{{"Geo":{{"CountryCode":"' || country || '","Longitude":2}},"Network":'
   || {_asn_json("asn")} || '}}}}' AS content
 FROM missing"""
 
@@ -305,16 +305,14 @@ _VALUES = (
 )
 
 
-def _wide_cte(years: list[int]) -> str:
-    periods = [f"{y}_{h}" for y in years for h in ("jan_jun", "july_dec")]
-    columns = ", ".join(
-        f"max({v}) FILTER (WHERE period = '{p}') AS \"{p}_{v}\"" for p in periods for v in _VALUES
-    )
-    return f"wide AS (SELECT geo_id, {columns} FROM summary GROUP BY geo_id)"
+def _wide(digits: int) -> str:
+    """The summary with a column for each half-year that occurs and each value."""
+    values = ", ".join(f"max({v}) AS {v}" for v in _VALUES)
+    summary = f"(WITH {_statistics_cte(digits)}, {_SUMMARY} SELECT * FROM summary)"
+    return f"(PIVOT {summary} ON period USING {values} GROUP BY geo_id)"
 
 
-ORACLES["halfyear_wide"] = f"""
-WITH {_statistics_cte(5)}, {_SUMMARY}, {_wide_cte(list(range(1995, 2002)))} SELECT * FROM wide"""
+ORACLES["halfyear_wide"] = f"SELECT * FROM {_wide(5)}"
 
 _POPULATIONS = {"white": 32, "black": 16, "asian": 8, "hispanic": 4, "amerindian": 2}
 _counts = ", ".join(
@@ -324,7 +322,7 @@ _shares = ", ".join(
     f"round({g}_pop / nullif(total_pop, 0), 6) AS {g}_pct" for g in _POPULATIONS
 )
 ORACLES["map_join"] = f"""
-WITH {_statistics_cte(11)}, {_SUMMARY}, {_wide_cte([1995])}, {_filings_cte(11)},
+WITH {_filings_cte(11)},
 features AS (SELECT left({_BLOCK.format("p_partkey")}, 11) AS fips, p_name AS name FROM part),
 people AS (
   SELECT left({_BLOCK.format("p_partkey")}, 11) AS geo_id, {_counts},
@@ -340,4 +338,4 @@ FROM features f
 LEFT JOIN people p ON f.fips = p.geo_id
 LEFT JOIN internet i ON f.fips = i.fips
 LEFT JOIN filings g ON f.fips = g.geo_id
-LEFT JOIN wide w ON f.fips = w.geo_id"""
+LEFT JOIN {_wide(11)} w ON f.fips = w.geo_id"""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -85,7 +86,7 @@ for _name in ("continents", "countries_asn", "global_asn"):
 
 # Limits under which nearly every group of the given tables counts as too large for
 # the lean plans, so that the plans for hot keys run over whole tables.
-TIGHT = Limits(tests_per_group=3, samples_per_group=2, broadcast_rows=0, salts=8)
+TIGHT = Limits(tests_per_group=3, samples_per_group=2)
 
 
 def _tight_level_query(name: str) -> Query:
@@ -98,7 +99,7 @@ def _tight_level_query(name: str) -> Query:
     return query
 
 
-for _name in ("continents", "countries_asn", "counties"):
+for _name in ("continents", "countries_asn", "regions", "states", "counties"):
     QUERIES[f"level_{_name}_spread"] = _tight_level_query(_name)
 
 
@@ -157,8 +158,12 @@ def _export_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _scratch(spark: SparkSession) -> str:
-    """A new folder in the place all executors share."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp()
+    """A new folder in the place all executors share: a folder of this machine only where it runs alone."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        shared = tempfile.mkdtemp()
     return f"{shared.rstrip('/')}/netstats-{uuid.uuid4().hex}"
 
 
@@ -317,8 +322,6 @@ def _filings_query(geography: str) -> Query:
 for _name in ("block", "tract", "county"):
     QUERIES[f"filings_by_{_name}"] = _filings_query(_name)
 
-PERIODS = mapdata.periods_of(1995, 2001)
-
 
 def _steady(frame: DataFrame) -> DataFrame:
     """Medians of two middle values, and shares, without their last bits."""
@@ -340,19 +343,20 @@ def _halfyear_from_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("halfyear_wide")
 def _halfyear_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    summary = mapdata.half_years(tables.statistics(spark, sf_dir, 5))
-    return _steady(mapdata.wide_half_years(summary, PERIODS))
+    statistics = tables.statistics(spark, sf_dir, 5)
+    periods = mapdata.periods_of(statistics)
+    return _steady(mapdata.wide_half_years(mapdata.half_years(statistics), periods))
 
 
 @register("map_join")
 def _map_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     offers = consumer_filings(tables.filings(spark, sf_dir))
-    summary = mapdata.half_years(tables.statistics(spark, sf_dir, 11))
+    statistics = tables.statistics(spark, sf_dir, 11)
     features = mapdata.map_features(
         tract_ids(tables.tract_features(spark, sf_dir)),
         tables.demographics(spark, sf_dir),
         tables.internet(spark, sf_dir),
         mapdata.filings_by(offers, "tract"),
-        mapdata.wide_half_years(summary, PERIODS[:2]),
+        mapdata.wide_half_years(mapdata.half_years(statistics), mapdata.periods_of(statistics)),
     )
     return _steady(mapdata.published(features))

@@ -51,21 +51,46 @@ def user_latitude(user: Column) -> Column:
     return (user * 5 % 180 - 90 + F.lit(0.5)).cast("double")
 
 
-def _user_client(user: Column) -> Column:
-    quarter = F.floor(user / 256).cast("string")
+def address(user: Column) -> Column:
+    """An IPv4 address for each user number below 2^32 - 10 * 2^24."""
+    parts = [F.lit(10) + F.floor(user / (1 << 24)), *[F.floor(user / (1 << s)) % 256 for s in (16, 8, 0)]]
+    return F.concat_ws(".", *[p.cast("string") for p in parts])
+
+
+def _missing(number: Column, every: int, value: Column) -> Column:
+    """`value`, but NULL for one number in `every` and empty for another one."""
+    return F.when(number % every == 0, F.lit(None)).when(number % every == 1, "").otherwise(value)
+
+
+def _user_client(user: Column, event: Column) -> Column:
+    """A client; some have no address, a bad or an IPv6 one, and some lack parts of their place."""
+    segment, kind = F.col("c_mktsegment"), user % 47
+    six = F.concat(F.lit("2001:db8::"), F.lower(F.hex(user % 65536)))
+    text = (
+        F.when(event % 37 == 0, F.lit(None))
+        .when(event % 37 == 1, "10.0.0.256")
+        .when(event % 37 == 2, six)
+        .otherwise(address(user))
+    )
+    subdivision = (
+        F.when(kind.isin(0, 1), F.lit(None))
+        .when((kind == 2) | (user % 3 == 0), "")
+        .when(user % 3 == 1, F.concat(F.lit("sub"), (user % 5).cast("string")))
+        .otherwise(segment)
+    )
     return F.struct(
-        F.concat_ws(".", F.lit("10.0"), quarter, (user % 256).cast("string")).alias("IP"),
+        text.alias("IP"),
         _geo(
-            ContinentCode=F.col("r_name"),
-            CountryCode=F.col("n_name"),
+            ContinentCode=_missing(user, 53, F.col("r_name")),
+            CountryCode=_missing(user, 59, F.col("n_name")),
             CountryName=F.col("n_name"),
-            Region=F.col("c_mktsegment"),
-            Subdivision1ISOCode=F.when(user % 3 > 0, F.col("c_mktsegment")).otherwise(""),
-            City=F.concat(F.lit("city"), (user % 7).cast("string")),
+            Region=F.when(kind.isin(1, 3), F.lit(None)).when(kind == 2, "").otherwise(segment),
+            Subdivision1ISOCode=subdivision,
+            City=_missing(user, 61, F.concat(F.lit("city"), (user % 7).cast("string"))),
             Longitude=user_longitude(user),
             Latitude=user_latitude(user),
         ).alias("Geo"),
-        _network(user % 9 + 64500).alias("Network"),
+        _network(F.when(user % 67 > 0, user % 9 + 64500)).alias("Network"),
     )
 
 
@@ -74,17 +99,22 @@ def _rtt() -> Column:
 
 
 def measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Speed tests: one per event."""
-    user = F.col("user_id")
+    """Speed tests: one per event.
+
+    Some have no speed, one next to a rounding tie, no id, or an id that others have too.
+    """
+    user, event = F.col("user_id"), F.col("event_id")
+    again = F.concat(F.lit("again"), (user % 3).cast("string"))
+    speed = F.when(event % 41 == 0, 0.0).when(event % 43 == 0, F.floor("value") + F.lit(0.3424999999))
     events = read(spark, sf_dir, "events")
     return events.join(places(spark, sf_dir), user == F.col("c_custkey")).select(
         F.to_date("ts").alias("date"),
         F.when(F.col("event_type").isin("view", "click", "purchase"), "dl")
         .otherwise("ul")
         .alias("direction"),
-        F.col("event_id").cast("string").alias("id"),
-        _user_client(user).alias("client"),
-        F.struct(F.col("value").alias("MeanThroughputMbps"), _rtt().alias("MinRTT")).alias("a"),
+        F.when(event % 29 == 0, F.lit(None)).when(event % 31 == 0, again).otherwise(event.cast("string")).alias("id"),
+        _user_client(user, event).alias("client"),
+        F.struct(speed.otherwise(F.col("value")).alias("MeanThroughputMbps"), _rtt().alias("MinRTT")).alias("a"),
     )
 
 
