@@ -15,9 +15,10 @@ raw AS (
   SELECT CASE WHEN event_id % 11 = 0 THEN 'x' || event_id
       ELSE 'ndt-v' || (event_id % 3) || '-' || event_id END AS ID,
     CAST(ts AS DATE) AS date, event_type || (user_id % 2) AS site, left(event_type, 3) AS metro,
-    'node' || (user_id % 4) AS machine, n_name AS country, 'AS' || (user_id % 9 + 64500) AS asname,
+    'node' || (user_id % 4) AS machine, n_name AS country, CASE WHEN user_id % 67 > 0 THEN 'AS' || (user_id % 9 + 64500) END AS asname,
     CASE WHEN user_id % 50 = 7 THEN '45.56.98.222'
-      ELSE '10.0.' || (user_id // 256) || '.' || (user_id % 256) END AS client_ip,
+      ELSE (10 + user_id // 16777216) || '.' || (user_id // 65536 % 256) || '.'
+        || (user_id // 256 % 256) || '.' || (user_id % 256) END AS client_ip,
     user_id % 50 = 7 AS is_monitoring,
     CASE WHEN user_id % 5 <> 0 THEN 'name' || (user_id % 3) END AS name,
     'os' || (user_id % 2) AS os,

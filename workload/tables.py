@@ -275,9 +275,7 @@ def fleet(spark: SparkSession, sf_dir: str) -> DataFrame:
         metadata.alias("ClientMetadata"),
         F.slice(snapshots, 1, (event % 5).cast("int")).alias("ServerMeasurements"),
     )
-    plain_ip = F.concat_ws(
-        ".", F.lit("10.0"), F.floor(user / 256).cast("string"), (user % 256).cast("string")
-    )
+    client = _user_client(user, event)
     version = F.concat_ws("-", F.lit("ndt"), _text("v", event % 3), event.cast("string"))
     return (
         read(spark, sf_dir, "events")
@@ -290,10 +288,10 @@ def fleet(spark: SparkSession, sf_dir: str) -> DataFrame:
                 _text("node", user % 4).alias("Machine"),
             ).alias("server"),
             F.struct(
-                _user_client(user)["Geo"].alias("Geo"), _user_client(user)["Network"].alias("Network")
+                client["Geo"].alias("Geo"), client["Network"].alias("Network")
             ).alias("client"),
             F.struct(
-                F.when(user % 50 == 7, "45.56.98.222").otherwise(plain_ip).alias("ClientIP"),
+                F.when(user % 50 == 7, "45.56.98.222").otherwise(address(user)).alias("ClientIP"),
                 F.when(download, side).alias("Download"),
                 F.when(~download, side).alias("Upload"),
             ).alias("raw"),
