@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from netstats.sources.files import write_lines
+
 # Lengths to which ids are padded, thresholds of the bucket's lower
 # edge in Mbps, population groups that get a share, codes dropped on output.
 PADDED = {"block": 11, "tract": 11, "county": 5}
@@ -143,3 +145,29 @@ def map_features(
 def published(features: DataFrame) -> DataFrame:
     """Features without the codes their id is made of."""
     return features.drop(*TRACT_PARTS)
+
+
+# The texts around the features of a GeoJSON file.
+COLLECTION = ('{"type":"FeatureCollection","features":[', "]}")
+
+
+def feature_lines(features: DataFrame, layer: str) -> DataFrame:
+    """(path, line): each feature as GeoJSON, in the file of its state.
+
+    The file has one state's features, so a layer of any size is many files of a bounded size. All columns but `geometry`
+    and `rings` are properties; unknown ones are null. A feature without geometry has a null one.
+    """
+    names = [c for c in features.columns if c not in ("geometry", "rings")]
+    properties = F.to_json(F.struct(*names), {"ignoreNullFields": "false"})
+    line = F.concat(
+        F.lit('{"type":"Feature","geometry":'), F.coalesce("geometry", F.lit("null")),
+        F.lit(',"properties":'), properties, F.lit("}"),
+    )
+    path = F.concat(F.lit(f"{layer}/"), F.substring("fips", 1, 2), F.lit(".geojson"))
+    return features.select(path.alias("path"), "fips", line.alias("line"))
+
+
+def write_features(features: DataFrame, layer: str, root: str) -> None:
+    """One FeatureCollection per state under `root`, written by the tasks in order of the features' ids."""
+    placed = feature_lines(features, layer).repartition("path").sortWithinPartitions("path", "fips", "line")
+    write_lines(placed.select("path", "line"), root, COLLECTION)

@@ -339,3 +339,31 @@ LEFT JOIN people p ON f.fips = p.geo_id
 LEFT JOIN internet i ON f.fips = i.fips
 LEFT JOIN filings g ON f.fips = g.geo_id
 LEFT JOIN {_wide(11)} w ON f.fips = w.geo_id"""
+
+ORACLES["filings_csv"] = ORACLES["filings_by_county"]
+ORACLES["census_csv"] = f"""
+WITH people AS (
+  SELECT left({_BLOCK.format("p_partkey")}, 11) AS geo_id, {_counts},
+    CAST(CASE WHEN p_size % 10 = 0 THEN 0 ELSE p_size * 64 END AS DOUBLE) AS total_pop
+  FROM part WHERE p_partkey % 4 > 0
+)
+SELECT *, {_shares} FROM people"""
+ORACLES["statistics_files"] = f"""
+SELECT lpad(substr(GEOID, 2), 5, '0') AS fips, CAST(date AS VARCHAR) AS date, bucket_min,
+  dl_samples_bucket, "download_MED", ul_samples_bucket, "upload_MED"
+FROM ({level_sql("counties")})"""
+ORACLES["map_files"] = f"""
+WITH {_filings_cte(11)},
+samples AS (
+  SELECT left({_BLOCK.format("CAST(substr(GEOID, 2) AS BIGINT)")}, 11) AS fips,
+    CAST(sum(dl_samples_bucket) AS DOUBLE) AS total_dl_samples
+  FROM ({level_sql("tracts")}) WHERE year(date) = 2024 AND month(date) <= 6 GROUP BY 1
+)
+SELECT f.fips, f.p_name AS name,
+  CASE WHEN p_partkey % 4 > 0 THEN CAST(CASE WHEN p_size % 10 = 0 THEN 0 ELSE p_size * 64 END AS DOUBLE) END AS total_pop,
+  CASE WHEN p_partkey % 3 > 0 THEN p_retailprice END AS broadband,
+  CAST(g.provider_count AS DOUBLE) AS provider_count, s.total_dl_samples,
+  CAST(p_partkey % 90 * 4 - 176 AS DOUBLE) AS x, CAST(p_partkey // 90 % 60 * 3 - 87 AS DOUBLE) AS y
+FROM (SELECT *, left({_BLOCK.format("p_partkey")}, 11) AS fips FROM part) f
+LEFT JOIN filings g ON f.fips = g.geo_id
+LEFT JOIN samples s ON f.fips = s.fips"""

@@ -6,6 +6,7 @@ import re
 import tempfile
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,12 +19,13 @@ from netstats.operators.sampling import pair
 from netstats.operators.skew import join_null_safe
 from netstats.operators.spatial import dissolve, locate_points
 from netstats.operators.summary import daily_statistics
-from netstats.plans import annotation, export, fleet, mapdata
+from netstats.plans import annotation, export, fleet, jobs, mapdata
 from netstats.plans.histograms import Prepared, draws, level_histogram, prepare
 from netstats.plans.refresh import refresh
 from netstats.schema import BUCKET_COLUMNS, daily_columns
-from netstats.sources.filings import consumer_filings
-from netstats.sources.geography import boundaries_from_wkt, tract_ids
+from netstats.sources.filings import consumer_filings, read_filings
+from netstats.sources.geography import boundaries_from_wkt, read_census, read_geojson, tract_ids
+from netstats.sources.statistics import read_statistics
 from workload import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -360,3 +362,63 @@ def _map_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         mapdata.wide_half_years(mapdata.half_years(statistics), mapdata.periods_of(statistics)),
     )
     return _steady(mapdata.published(features))
+
+
+@register("filings_csv")
+def _filings_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Filings written as CSV, read back and summarised."""
+    path = f"{_scratch(spark)}/filings"
+    tables.filings(spark, sf_dir).write.csv(path, header=True)
+    return mapdata.filings_by(consumer_filings(read_filings(spark, path)), "county")
+
+
+@register("census_csv")
+def _census_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Populations written as CSV and read back, with shares."""
+    path = f"{_scratch(spark)}/census"
+    tables.demographics(spark, sf_dir).write.csv(path, header=True)
+    numbers = ["total_pop", *[f"{p}_pop" for p in mapdata.POPULATIONS]]
+    return _steady(mapdata.population_shares(read_census(spark, path, "geo_id", numbers)))
+
+
+@register("statistics_files")
+def _statistics_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The county level, exported with national ids and read back."""
+    root = _scratch(spark)
+    number = F.regexp_extract("GEOID", r"\d+", 0)
+    table = _level(spark, sf_dir, "counties").withColumn("GEOID", F.lpad(number, 5, "0"))
+    table = table.withColumn("year", F.year("date")).persist()
+    export.export(table.drop("year"), "counties", root)
+    years = [year for (year,) in table.select("year").distinct().collect()]
+    table.unpersist()
+    parts = [read_statistics(spark, root, "counties", year) for year in years]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@register("map_files")
+def _map_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tract features written as GeoJSON, one file per state, joined by the map step, written and read back."""
+    root = _scratch(spark)
+    mapdata.write_features(tables.tract_layer(spark, sf_dir), "tracts", f"{root}/in")
+    tables.filings(spark, sf_dir).write.csv(f"{root}/filings", header=True)
+    tables.demographics(spark, sf_dir).write.csv(f"{root}/census", header=True)
+    tables.internet(spark, sf_dir).write.csv(f"{root}/internet", header=True)
+    part = F.regexp_extract("GEOID", r"\d+", 0).cast("bigint")
+    table = _level(spark, sf_dir, "tracts").withColumn("GEOID", tables.tract_of(part))
+    export.export(table, "tracts", f"{root}/files")
+    jobs.run(
+        spark,
+        ["mapdata", "--start", "2024-01-01", "--end", "2024-12-31", "--layer", "tracts", "--features", f"{root}/in/tracts",
+         "--fields", "name", "--census", f"{root}/census", "--internet", f"{root}/internet", "--internet-columns", "broadband",
+         "--filings", f"{root}/filings", "--files", f"{root}/files", "--out", f"{root}/out"],
+    )
+    numbers = ["total_pop", "broadband", "provider_count", "2024_jan_jun_total_dl_samples"]
+    found = read_geojson(spark, f"{root}/out/tracts", ["fips", "name", *numbers])
+    corner = F.col("rings")[0][2]
+    return found.select(
+        "fips",
+        "name",
+        *[F.col(n).cast("double").alias(n.removeprefix("2024_jan_jun_")) for n in numbers],
+        corner["x"].alias("x"),
+        corner["y"].alias("y"),
+    )

@@ -440,6 +440,26 @@ def tract_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tract_of(part: Column) -> Column:
+    return F.substring(_block(part), 1, 11)
+
+
+def tract_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Map features with a rectangle each, as GeoJSON geometry."""
+    key = F.col("p_partkey")
+    block, rings = _block(key), _box(key % 90 * 4 - 180, F.floor(key / 90) % 60 * 3 - 90, 4, 3)
+    points = F.transform(rings, lambda ring: F.transform(ring, lambda p: F.array(p["x"], p["y"])))
+    shape = F.struct(F.lit("Polygon").alias("type"), points.alias("coordinates"))
+    return read(spark, sf_dir, "part").select(
+        tract_of(key).alias("fips"),
+        F.substring(block, 1, 2).alias("STATEFP10"),
+        F.substring(block, 3, 3).alias("COUNTYFP10"),
+        F.substring(block, 6, 6).alias("TRACTCE10"),
+        F.col("p_name").alias("name"),
+        F.to_json(shape).alias("geometry"),
+    )
+
+
 def demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Populations of three parts in four; some are empty."""
     size = F.col("p_size")
