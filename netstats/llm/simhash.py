@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -126,3 +126,99 @@ def near_duplicates(docs: DataFrame, shingle: int = 3) -> DataFrame:
 def hex_print(fp: Column) -> Column:
     """Sixteen lower-case hexadecimal digits."""
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
+
+
+#: Bits in which the 128-bit fingerprints of a candidate pair may differ, and the members of a bucket that others are
+#: compared with.
+CANDIDATE_BITS, MEETING = 24, 8
+
+
+def word_print(text: str | None) -> tuple[int, int]:
+    """A 128-bit SimHash of the set of lower-case words, as two signed halves; zero where there are no words."""
+    words = set(text.encode().lower().split()) if text else set()
+    if not words:
+        return 0, 0
+    counts, hashes = np.zeros(128, np.int64), [xxhash.xxh3_128_digest(w) for w in words]
+    for at in range(0, len(hashes), BLOCK):
+        octets = np.frombuffer(b"".join(hashes[at : at + BLOCK]), np.uint8).reshape(-1, 16)
+        counts += np.unpackbits(octets, axis=1).sum(axis=0, dtype=np.int64)
+    high, low = np.packbits(counts * 2 > len(words)).view(">i8").tolist()
+    return high, low
+
+
+def _word_prints(docs: DataFrame) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pairs = [word_print(x) for x in batch.column(2).to_pylist()]
+            halves = [pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *halves], ["doc_id", "key", "high", "low"])
+
+    kinds = [T.StructField("key", T.BinaryType()), T.StructField("high", T.LongType()), T.StructField("low", T.LongType())]
+    return docs.select("doc_id", "key", "text").mapInArrow(run, T.StructType([docs.schema["doc_id"], *kinds]))
+
+
+def candidates(classes: DataFrame) -> DataFrame:
+    """(a, b): distinct pairs of classes (c, high, low) that multi-index hashing brings together.
+
+    Of four 32-bit segments, each is looked up with all that set one more bit, and meets up to MEETING members of every
+    bucket found, those with the smallest hash. So a bucket of any size costs a few rows for each of its
+    members, and not one for each pair; pairs that do not meet are linked through those that both have met. The complete
+    fingerprints are compared last.
+    """
+    half = "high", "low"
+    values = [F.shiftrightunsigned(h, 32) if up else F.col(h).bitwiseAND(F.lit(0xFFFFFFFF)) for h in half for up in (1, 0)]
+    buckets = F.array(*[v.bitwiseOR(F.lit(i << 32)) for i, v in enumerate(values)])
+    table = classes.select("c", F.explode(buckets).alias("bucket"))
+    first = Window.partitionBy("bucket").orderBy(F.xxhash64("c"), "c")
+    met = table.withColumn("rn", F.row_number().over(first)).where(F.col("rn") <= MEETING).select("bucket", F.col("c").alias("b"))
+    near = F.expr("array_distinct(array_append(transform(sequence(0, 31), i -> bucket | shiftleft(1L, i)), bucket))")
+    asked = table.select(F.col("c").alias("a"), F.explode(near).alias("bucket"))
+    found = asked.join(met, "bucket").where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    left, right = (classes.select(F.col("c").alias(n), F.col("high").alias(f"{n}h"), F.col("low").alias(f"{n}l")) for n in "ab")
+    bits = F.expr("bit_count(ah ^ bh) + bit_count(al ^ bl)")
+    return found.join(left, "a").join(right, "b").where(bits <= CANDIDATE_BITS).select("a", "b")
+
+
+def shingle_set(text: str, width: int) -> set[bytes]:
+    words = text.encode().lower().split()
+    return {b" ".join(words[i : i + width]) for i in range(max(1, len(words) - width + 1))} if words else set()
+
+
+def _similar(pairs: DataFrame, width: int, threshold: float) -> DataFrame:
+    """The pairs (a, b, left, right) of texts whose sets of word shingles have that Jaccard similarity."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            stays = []
+            for left, right in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                one, other = shingle_set(left, width), shingle_set(right, width)
+                both = len(one & other)
+                stays.append(both >= threshold * (len(one) + len(other) - both))
+            yield batch.select([0, 1]).filter(pa.array(stays, pa.bool_()))
+
+    return pairs.mapInArrow(run, "a long, b long")
+
+
+def near_copies(docs: DataFrame, width: int = 5, threshold: float = 0.8) -> DataFrame:
+    """doc_id and component_id, the smallest doc_id that links lead to, for every row of `docs`.
+
+    Linked are texts whose sets of `width`-word shingles (lower case; fewer words: the whole sequence) have a Jaccard
+    similarity of `threshold` or more. SimHash finds the pairs: fingerprints of the shingles themselves differ in far more
+    bits at that similarity than small Hamming balls hold, so they are made of the set of words, of which an edit
+    changes few. Every pair is verified on the exact shingles, so nothing is linked wrongly; a pair is found
+    with a high probability (see the README), and copies of more copies again by other ways. Equal texts are one class. Texts
+    without words are alike. Repeated rows stay; a component of null ids alone has component_id null. No rows give no rows.
+    """
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("key", F.unhex(F.md5("text")))
+    prints = cut(_word_prints(texts))
+    classes = prints.groupBy("key").agg(F.min("doc_id").alias("first_id"), F.first("high").alias("high"), F.first("low").alias("low"))
+    classes = cut(classes.withColumn("c", F.monotonically_increasing_id()))
+    pairs = cut(candidates(classes))
+    asked = pairs.select(F.col("a").alias("c")).union(pairs.select("b")).distinct()
+    known = cut(texts.select("key", "text").join(classes.join(asked, "c").select("key", "c"), "key").dropDuplicates(["c"]).select("c", "text"))
+    left, right = known.select(F.col("c").alias("a"), F.col("text").alias("left")), known.select(F.col("c").alias("b"), F.col("text").alias("right"))
+    links = _similar(pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right"), width, threshold)
+    roots = components(links)
+    rooted = classes.join(roots, classes.c == roots.node, "left").select("key", "first_id", F.coalesce("root", "c").alias("root"))
+    smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    return prints.join(rooted.join(smallest, "root").select("key", "component_id"), "key").select("doc_id", "component_id")
