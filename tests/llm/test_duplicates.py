@@ -84,6 +84,40 @@ def test_components_of_chains_and_stars(spark):
     assert components(links.limit(0)).count() == 0
 
 
+def edited(rng, text, n):
+    words = text.split(" ")
+    for i in rng.sample(range(len(words)), n):
+        words[i] = f"new{rng.randrange(10**6)}"
+    return " ".join(words)
+
+
+def test_near_copies(spark):
+    rng = random.Random(11)
+    bases = [sentence(rng, 200, 5000) for _ in range(25)]
+    rows = [(100 * b + i, edited(rng, base, i % 4)) for b, base in enumerate(bases) for i in range(12)]
+    rows += [(9000 + i, edited(rng, base, 60)) for i, base in enumerate(bases)]
+    docs = documents(spark, clashing=True).where("doc_id IS NULL OR doc_id < 60").unionByName(
+        spark.createDataFrame([(50_000 + i, t) for i, t in rows], "doc_id long, text string"), allowMissingColumns=True
+    )
+    found = simhash.near_copies(docs).collect()
+    assert len(found) == docs.count()
+    given = [(r.doc_id, frozenset(simhash.shingle_set(r.text or "", 5))) for r in docs.collect()]
+    roots = list(range(len(given)))
+    for i, (_, a) in enumerate(given):
+        for j, (_, b) in enumerate(given[:i]):
+            both = len(a & b)
+            if roots[i] != roots[j] and both >= 0.8 * (len(a) + len(b) - both):
+                roots = [roots[j] if r == roots[i] else r for r in roots]
+    ids = [i for i, _ in given]
+    smallest = {r: min((i for i, s in zip(ids, roots) if s == r and i is not None), default=None) for r in set(roots)}
+    expected = {i: smallest[r] for i, r in zip(ids, roots) if i is not None}
+    got = {r.doc_id: r.component_id for r in found if r.doc_id is not None}
+    # Nothing is linked wrongly, and nearly all links are found.
+    assert all(expected[i] == expected[c] for i, c in got.items())
+    assert len(set(got.values())) <= len(set(expected.values())) + 3
+    assert simhash.near_copies(empty(spark)).count() == 0
+
+
 @pytest.mark.parametrize("clashing", [False, True])
 def test_exact_groups(spark, clashing):
     docs = documents(spark, clashing=clashing)
