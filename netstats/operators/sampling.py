@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from netstats.functions.fingerprint import slice_of
 from netstats.limits import DEFAULT, Limits
-from netstats.operators.skew import join_null_safe, split_hot
+from netstats.operators.skew import join_null_safe
 
 # The two primes whose remainder by the number of tests is drawn.
 FIRST = 511232941
@@ -42,8 +42,8 @@ def draw(
     if hot_addresses is None:
         return _draw_by_sorting(rows, group)
     address = ["date", "direction", "ip"]
-    ordinary, hot = split_hot(rows, hot_addresses, address)
-    return _draw_by_sorting(ordinary, group).unionByName(_draw_by_slices(hot, group, limits))
+    marked = join_null_safe(rows, hot_addresses, address, "left")
+    return _draw_by_slices(marked, group, limits)
 
 
 def _draw_by_sorting(rows: DataFrame, group: list[str]) -> DataFrame:
@@ -68,11 +68,12 @@ def _draw_by_sorting(rows: DataFrame, group: list[str]) -> DataFrame:
 def _draw_by_slices(rows: DataFrame, group: list[str], limits: Limits) -> DataFrame:
     """The same draws for groups of any size.
 
-    A group is cut into slices of the fingerprint space. The sizes of the slices
+    A group is cut into slices of the fingerprint space: as many as the tests of its address, where
+    `tests` has their number, ask for, and else one. The sizes of the slices
     tell which one holds the wanted position, and only that slice is sorted.
-    Copies of a row are counted, not carried.
+    Copies of a row are counted, not carried. All groups go the same way, so the rows are read once.
     """
-    slices = F.ceil(F.col("tests") / F.lit(limits.tests_per_group))
+    slices = F.ceil(F.coalesce("tests", F.lit(1)) / F.lit(limits.tests_per_group))
     distinct = (
         rows.withColumn("slice", slice_of(F.col("fp"), slices))
         .groupBy(*group, "slice", *ORDER)
