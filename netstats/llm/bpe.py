@@ -15,7 +15,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from netstats.llm.shared import kept_in_worker
+from netstats.llm.shared import kept_in_worker, pieces_of
 
 #: Fixed value: the pattern by which byte-level tokenizers cut a text before merging.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -203,7 +203,7 @@ def _run(docs: DataFrame, tokenizer: str, with_ids: bool) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = kept_in_worker(name, lambda: ByteBpe(content.value))
-        for batch in batches:
+        for batch in pieces_of(batches):
             counts, digests, decoded, tokens = [], [], [], []
             for text in batch.column(1).to_pylist():
                 ids, joined = bpe.encode(text or "")

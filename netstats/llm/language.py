@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from netstats.llm.shared import pieces_of
+
 #: Bytes of text in the dictionary of a language, at most.
 DICTIONARY_BYTES = 65_536
 #: Training documents of a language, at most, and the largest size of one in characters.
@@ -71,7 +73,7 @@ def classify(docs: DataFrame, known: dict[str, bytes]) -> DataFrame:
             held = zstandard.ZstdCompressionDict(known[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             held.precompute_compress(level=LEVEL)
             tools.append(zstandard.ZstdCompressor(level=LEVEL, dict_data=held, write_content_size=False, write_dict_id=False).compress)
-        for batch in batches:
+        for batch in pieces_of(batches):
             preds, scores, rejected = [], [], []
             for text in batch.column(1).to_pylist():
                 if not langs or not text or not any(map(str.isalpha, text)):

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from netstats.llm.shared import cut
+from netstats.llm.shared import cut, pieces_of
 
 #: Buckets of hashed n-grams, and the bytes of an n-gram.
 BUCKETS, GRAM = 1 << 16, 4
@@ -51,7 +51,7 @@ def counts(docs: DataFrame, targets: DataFrame) -> tuple[np.ndarray, np.ndarray]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((2, BUCKETS), np.int64)
-        for batch in batches:
+        for batch in pieces_of(batches):
             for text, chosen in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 for found in grams(text or ""):
                     one = np.bincount(found, minlength=BUCKETS) if len(found) > 4096 else None
@@ -86,7 +86,7 @@ def log_weights(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
         return LENGTH * float(sum(x for x, _ in parts)) / max(1, sum(n for _, n in parts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces_of(batches):
             found = [weight(x) for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.float64())], ["doc_id", "log_weight"])
 

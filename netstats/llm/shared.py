@@ -6,9 +6,10 @@ import re
 import sys
 import tempfile
 import types
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -16,7 +17,7 @@ def shared_folder(spark: SparkSession) -> str:
     """The session's checkpoint folder. Only a local session may fall back to a folder of this machine."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        given = context.getConf().get("spark.checkpoint.dir")
+        given = spark.conf.get("spark.checkpoint.dir", None)
         if given is None:
             if not re.match(r"local(\[|$)", context.master):
                 raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
@@ -31,6 +32,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def pieces_of(batches: Iterator[pa.RecordBatch], rows: int = 1_000) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of at most so many rows, so that a task holds few texts as Python objects at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def kept_in_worker(name: str, make: Callable[[], Any]) -> Any:
     """What `make` returned the first time, for as long as the worker process lives."""
     held = sys.modules.setdefault("_netstats_llm_held", types.ModuleType("_netstats_llm_held"))

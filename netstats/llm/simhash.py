@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from netstats.llm.components import components
-from netstats.llm.shared import cut
+from netstats.llm.shared import cut, pieces_of
 
 #: Links differ in at most this many bits: one of two 32-bit segments then differs in one bit at most.
 MAX_BITS = 3
@@ -45,7 +45,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     """doc_id and fp of every document. A text without words has fingerprint zero."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces_of(batches):
             fps = [simhash(x, shingle) for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], ["doc_id", "fp"])
 
@@ -130,7 +130,7 @@ def hex_print(fp: Column) -> Column:
 
 #: Bits in which the 128-bit fingerprints of a candidate pair may differ, and the members of a bucket that others are
 #: compared with.
-CANDIDATE_BITS, MEETING = 24, 8
+CANDIDATE_BITS, MEETING = 20, 4
 
 
 def word_print(text: str | None) -> tuple[int, int]:
@@ -148,7 +148,7 @@ def word_print(text: str | None) -> tuple[int, int]:
 
 def _word_prints(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces_of(batches):
             pairs = [word_print(x) for x in batch.column(2).to_pylist()]
             halves = [pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *halves], ["doc_id", "key", "high", "low"])
@@ -188,7 +188,7 @@ def _similar(pairs: DataFrame, width: int, threshold: float) -> DataFrame:
     """The pairs (a, b, left, right) of texts whose sets of word shingles have that Jaccard similarity."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces_of(batches):
             stays = []
             for left, right in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 one, other = shingle_set(left, width), shingle_set(right, width)

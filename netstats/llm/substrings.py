@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from netstats.llm.shared import shared_folder
+from netstats.llm.shared import pieces_of, shared_folder
 
 #: Words of the grams that stand for a window.
 GRAM = 8
@@ -127,7 +127,7 @@ def _anchor_rows(texts: DataFrame, width: int) -> DataFrame:
     """(m, k, n): each anchor of a text, the text's 64-bit hash, and how often the anchor's gram occurs in the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces_of(batches):
             ms, ks, ns = [], [], []
             for k, text in zip(batch.column(0).to_numpy(), batch.column(1).to_pylist(), strict=True):
                 words = _split(text)
@@ -160,7 +160,7 @@ def _parts(docs: DataFrame, id_type: T.DataType, width: int) -> DataFrame:
     kinds = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.binary(), pa.int64(), pa.string(), pa.binary(), pa.list_(pa.binary()), pa.int64()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces_of(batches):
             rows, ids = [], []
             for i, (text, light, hot) in enumerate(zip(*(batch.column(c).to_pylist() for c in (1, 2, 3)), strict=True)):
                 words = _split(text)
@@ -228,7 +228,7 @@ def _stream(segments: DataFrame, width: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, seen, held, last = [], set(), 0, None
-        for part in batches:
+        for part in pieces_of(batches):
             for row in zip(*(part.column(i).to_pylist() for i in range(4)), strict=True):
                 if row[0] != last:
                     if held >= SHARD_WORDS:
@@ -271,7 +271,7 @@ def _finish(docs: DataFrame) -> DataFrame:
     schema = T.StructType([docs.schema["doc_id"], *map(T.StructField, names[1:], kinds)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces_of(batches):
             counts, removed, digests = [], [], []
             for text, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 words = _split(text)
