@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from netstats.llm.components import components
+from netstats.llm.decontaminate import bounded
 from netstats.llm.shared import cut, pieces_of
 
 #: Links differ in at most this many bits: one of two 32-bit segments then differs in one bit at most.
@@ -162,8 +164,8 @@ def candidates(classes: DataFrame) -> DataFrame:
 
     Of four 32-bit segments, each is looked up with all that set one more bit, and meets up to MEETING members of every
     bucket found, those with the smallest hash. So a bucket of any size costs a few rows for each of its
-    members, and not one for each pair; pairs that do not meet are linked through those that both have met. The complete
-    fingerprints are compared last.
+    members, and not one for each pair. The complete fingerprints are compared last. Similar texts may fail to meet here:
+    `remaining` finds those that this leaves apart.
     """
     half = "high", "low"
     values = [F.shiftrightunsigned(h, 32) if up else F.col(h).bitwiseAND(F.lit(0xFFFFFFFF)) for h in half for up in (1, 0)]
@@ -199,26 +201,119 @@ def _similar(pairs: DataFrame, width: int, threshold: float) -> DataFrame:
     return pairs.mapInArrow(run, "a long, b long")
 
 
+#: Slots of the table of how common shingles are, and the share of texts (one of so many) that it is counted on.
+SLOTS, COUNTED = 1 << 18, 8
+
+
+def shingle_hashes(text: str, width: int) -> np.ndarray:
+    """The distinct 64-bit hashes of `shingle_set`, in order; one zero where there are no words."""
+    words = text.encode().lower().split()
+    if not words:
+        return np.zeros(1, np.uint64)
+    known = {w: xxhash.xxh64_intdigest(w) for w in set(words)}
+    each = np.fromiter((known[w] for w in words), np.uint64, len(words))
+    width = min(width, len(words))
+    out = np.full(len(words) - width + 1, width, np.uint64)
+    for i in range(width):
+        out = out * np.uint64(0x9E3779B97F4A7C15) + each[i : i + len(out)]
+    out ^= out >> np.uint64(32)
+    return np.unique(out * np.uint64(0xD6E8FEB86659FD93))
+
+
+def commonness(texts: DataFrame, width: int) -> np.ndarray:
+    """For each of SLOTS slots of shingle hashes a level, higher where more texts of a sample hold one of them than is usual.
+
+    It only chooses the order of shingles that `prefix` goes by, which is right for any levels; tasks send one row a slot.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(SLOTS, np.int64)
+        for batch in pieces_of(batches):
+            for text in batch.column(0).to_pylist():
+                np.add.at(total, shingle_hashes(text, width) & np.uint64(SLOTS - 1), 1)
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["slot", "n"])
+
+    sample = texts.where(F.pmod(F.xxhash64("key"), F.lit(COUNTED)) == 0).select("text")
+    found = sample.mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(SLOTS, np.int64)
+    counts[found.column("slot").to_numpy()] = found.column("n").to_numpy()
+    return np.log2(np.maximum(counts / max(1.0, 2 * counts.mean()), 1)).astype(np.int8)
+
+
+def prefix(text: str, width: int, threshold: float, levels: np.ndarray) -> tuple[int, np.ndarray]:
+    """The number of shingle hashes of a text, and the first of them, rarest first: so many that texts of that similarity share one of them.
+
+    Of n shingles, `threshold` * n or more are in both texts. So the first of these in an order that is the same for all texts
+    is among all but so many of the n, less one, in either text.
+    """
+    found = shingle_hashes(text, width)
+    order = np.argsort(levels[found & np.uint64(SLOTS - 1)], kind="stable")
+    return len(found), found[order[: len(found) - math.ceil(threshold * len(found)) + 1]]
+
+
+def remaining(texts: DataFrame, classes: DataFrame, width: int, threshold: float) -> DataFrame:
+    """(a, b): all pairs of classes (c, key, root) with different roots that may have that similarity, by prefix filtering.
+
+    Pairs of one root are linked already and change nothing. Of all others, every pair that shares a shingle of
+    its prefixes is looked at. One is left out only if its sizes, or the number of shingles that its prefixes share and all that
+    follow in the text with more of them, cannot reach the similarity. Shingles that many texts hold come last in the
+    order, so that they are in the prefix only of texts that consist of such.
+    """
+    levels = commonness(texts, width)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces_of(batches, 100):
+            sizes, found = zip(*(prefix(x, width, threshold, levels) for x in batch.column(2).to_pylist()), strict=True)
+            times = [len(x) for x in found]
+            columns = [np.repeat(x, times) for x in (batch.column(0).to_numpy(), batch.column(1).to_numpy(), np.array(sizes, np.int32))]
+            yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(np.concatenate(found).view(np.int64))], ["c", "root", "n", "h"])
+
+    named = texts.join(classes.select("key", "c", "root"), "key").select("c", "root", "text")
+    same = Window.partitionBy("h")
+    rows = named.mapInArrow(run, "c long, root long, n int, h long")
+    mixed = rows.select("*", F.min("root").over(same).alias("low"), F.max("root").over(same).alias("high")).where("low < high")
+    held = cut(mixed.select("h", "c", "root", "n").distinct())
+    left, right = (held.select("h", *[F.col(x).alias(y) for x, y in (("c", n), ("root", f"{n}r"), ("n", f"{n}n"))]) for n in "ab")
+    fits = F.least("an", "bn") >= threshold * F.greatest("an", "bn") - 1e-6
+    shared = left.join(right, "h").where((F.col("a") < F.col("b")) & (F.col("ar") != F.col("br")) & fits)
+    shared = shared.groupBy("a", "b", "an", "bn").agg(F.count("*").alias("k"))
+    # As many follow a prefix as `prefix` leaves over.
+    most = F.col("k") + F.ceil(F.greatest("an", "bn") * threshold) - 1
+    return shared.where(most >= threshold / (1 + threshold) * (F.col("an") + F.col("bn")) - 1e-6).select("a", "b")
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, classes: DataFrame, width: int, threshold: float) -> DataFrame:
+    """The pairs (a, b) of classes whose texts are similar."""
+    asked = pairs.select(F.col("a").alias("c")).union(pairs.select("b")).distinct()
+    keys = bounded(cut(classes.join(asked, "c").select("key", "c")))
+    known = cut(texts.select("key", "text").join(keys, "key").dropDuplicates(["c"]).select("c", "text"))
+    left, right = known.select(F.col("c").alias("a"), F.col("text").alias("left")), known.select(F.col("c").alias("b"), F.col("text").alias("right"))
+    return _similar(pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right"), width, threshold)
+
+
+def _rooted(classes: DataFrame, links: DataFrame) -> DataFrame:
+    roots = components(links)
+    return classes.join(roots, classes.c == roots.node, "left").select("c", "key", "first_id", F.coalesce("root", "c").alias("root"))
+
+
 def near_copies(docs: DataFrame, width: int = 5, threshold: float = 0.8) -> DataFrame:
     """doc_id and component_id, the smallest doc_id that links lead to, for every row of `docs`.
 
     Linked are texts whose sets of `width`-word shingles (lower case; fewer words: the whole sequence) have a Jaccard
-    similarity of `threshold` or more. SimHash finds the pairs: fingerprints of the shingles themselves differ in far more
+    similarity of `threshold` or more. SimHash finds most pairs: fingerprints of the shingles themselves differ in far more
     bits at that similarity than small Hamming balls hold, so they are made of the set of words, of which an edit
-    changes few. Every pair is verified on the exact shingles, so nothing is linked wrongly; a pair is found
-    with a high probability (see the README), and copies of more copies again by other ways. Equal texts are one class. Texts
+    changes few. Those that it leaves apart are found by a search that misses none (up to equal 64-bit hashes). Every pair is
+    verified on the exact shingles, so nothing is linked wrongly. Equal texts are one class. Texts
     without words are alike. Repeated rows stay; a component of null ids alone has component_id null. No rows give no rows.
     """
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("key", F.unhex(F.md5("text")))
     prints = cut(_word_prints(texts))
     classes = prints.groupBy("key").agg(F.min("doc_id").alias("first_id"), F.first("high").alias("high"), F.first("low").alias("low"))
     classes = cut(classes.withColumn("c", F.monotonically_increasing_id()))
-    pairs = cut(candidates(classes))
-    asked = pairs.select(F.col("a").alias("c")).union(pairs.select("b")).distinct()
-    known = cut(texts.select("key", "text").join(classes.join(asked, "c").select("key", "c"), "key").dropDuplicates(["c"]).select("c", "text"))
-    left, right = known.select(F.col("c").alias("a"), F.col("text").alias("left")), known.select(F.col("c").alias("b"), F.col("text").alias("right"))
-    links = _similar(pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right"), width, threshold)
-    roots = components(links)
-    rooted = classes.join(roots, classes.c == roots.node, "left").select("key", "first_id", F.coalesce("root", "c").alias("root"))
+    links = cut(_verified(cut(candidates(classes)), texts, classes, width, threshold))
+    linked = cut(_rooted(classes, links))
+    more = _verified(cut(remaining(texts, linked, width, threshold)), texts, classes, width, threshold)
+    rooted = _rooted(classes, links.unionByName(more))
     smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     return prints.join(rooted.join(smallest, "root").select("key", "component_id"), "key").select("doc_id", "component_id")

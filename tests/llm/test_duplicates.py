@@ -118,6 +118,30 @@ def test_near_copies(spark):
     assert simhash.near_copies(empty(spark)).count() == 0
 
 
+def plain_near_copies(rows):
+    sets = [(i, simhash.shingle_set(t, 5)) for i, t in rows]
+    roots = {i: i for i, _ in sets}
+    for i, a in sets:
+        for j, b in sets:
+            if j < i and roots[i] != roots[j] and len(a & b) >= 0.8 * len(a | b):
+                low, high = sorted((roots[i], roots[j]))
+                roots = {k: low if r == high else r for k, r in roots.items()}
+    return roots
+
+
+def test_near_copies_in_a_crowded_bucket(spark):
+    # One set of words in many orders, so all have one fingerprint; each order has one near copy.
+    rng = random.Random(21)
+    words = sentence(rng, 120, 100_000).split(" ")
+    rows = []
+    for i in range(0, 80, 2):
+        order = rng.sample(words, len(words))
+        rows += [(i, " ".join(order)), (i + 1, " ".join([*order[1:], order[0]]))]
+    assert len({simhash.word_print(t) for _, t in rows}) == 1
+    found = simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.doc_id: r.component_id for r in found.collect()} == plain_near_copies(rows) == {i: i - i % 2 for i in range(80)}
+
+
 @pytest.mark.parametrize("clashing", [False, True])
 def test_exact_groups(spark, clashing):
     docs = documents(spark, clashing=clashing)
