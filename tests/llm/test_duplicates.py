@@ -142,6 +142,25 @@ def test_near_copies_in_a_crowded_bucket(spark):
     assert {r.doc_id: r.component_id for r in found.collect()} == plain_near_copies(rows) == {i: i - i % 2 for i in range(80)}
 
 
+def test_near_copies_miss_none(spark):
+    # Short and long texts, edits up to the threshold and beyond, and a passage that most texts share.
+    rng = random.Random(22)
+    passage, rows = sentence(rng, 30), []
+    for n in [6, 12, 25, 40, 60, 90, 150, 400] * 12:
+        base = f"{sentence(rng, n, 5000)} {passage}" if rng.random() < 0.7 else sentence(rng, n, 5000)
+        words = base.split(" ")
+        at, size = rng.randrange(len(words)), rng.randrange(1 + len(words) // 8)
+        changed = [f"new{rng.randrange(10**6)}" if at <= i < at + size else w for i, w in enumerate(words)]
+        rows += [(len(rows), base), (len(rows) + 1, " ".join(changed))]
+    prints = [[h >> up & 0xFFFFFFFF for h in simhash.word_print(t) for up in (0, 32)] for _, t in rows]
+    expected = plain_near_copies(rows)
+    # Some similar texts share no bucket: all their segments differ in more than one bit.
+    apart = [min((a ^ b).bit_count() for a, b in zip(prints[i], prints[i + 1])) > 1 for i in range(0, len(rows), 2)]
+    assert any(x and expected[2 * i + 1] == 2 * i for i, x in enumerate(apart))
+    found = simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.doc_id: r.component_id for r in found.collect()} == expected
+
+
 @pytest.mark.parametrize("clashing", [False, True])
 def test_exact_groups(spark, clashing):
     docs = documents(spark, clashing=clashing)
