@@ -15,8 +15,8 @@ from netstats.llm.shared import pieces_of
 
 #: Bytes of text in the dictionary of a language, at most.
 DICTIONARY_BYTES = 65_536
-#: Training documents of a language, at most, and the largest size of one in characters.
-TRAINING_DOCS, TRAINING_CHARS = 400, 8_192
+#: Training documents of a language, at most, and the parts of equal length of which a long one gives a piece each.
+TRAINING_DOCS, PARTS = 400, 4
 #: A text is compressed in pieces of so many bytes, so that the dictionary, not the text's own past, decides.
 PIECE_BYTES = 2_048
 LEVEL = 5
@@ -31,22 +31,29 @@ def held_out(doc_id: Column) -> Column:
 def dictionaries(docs: DataFrame, held: Column) -> dict[str, bytes]:
     """Raw text for each lang of the training rows (not `held`, lang, text and doc_id not null).
 
-    A bounded sample: of each language the TRAINING_DOCS documents with the smallest hash among those with
-    at most TRAINING_CHARS characters, cut to the same length each, so that all of them have a part. Spark keeps no more
-    than that many rows of a language in any task before it shuffles, and they are chosen by id alone.
+    A bounded sample: of each language the TRAINING_DOCS documents with the smallest hash, whatever their length. All have the
+    same share of the dictionary: a text within it is taken whole, of a longer one a piece of each of PARTS equal parts,
+    at a place that its id picks. Spark keeps no more than that many rows of a language in any task before it
+    shuffles, they are chosen by id alone, and only the pieces come to the driver.
     """
-    usable = docs.where(~held & F.col("lang").isNotNull() & F.length(F.trim("text")).between(1, TRAINING_CHARS))
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    usable = docs.where(~held & F.col("lang").isNotNull() & (F.length(F.trim("text")) > 0))
+    by_lang = Window.partitionBy("lang")
+    first = by_lang.orderBy(F.xxhash64("doc_id"), "doc_id")
     picked = usable.select("doc_id", "lang").withColumn("rn", F.row_number().over(first)).where(F.col("rn") <= TRAINING_DOCS)
-    sample = usable.select("doc_id", "lang", "text").join(F.broadcast(picked), ["doc_id", "lang"])
+    picked = picked.select("doc_id", "lang", F.floor(F.lit(DICTIONARY_BYTES) / F.count("*").over(by_lang)).alias("share"))
+    sample = usable.select("doc_id", "lang", "text").join(F.broadcast(picked.distinct()), ["doc_id", "lang"])
+    size, octets = F.length("text"), F.octet_length("text")
+    # A line feed follows each piece; sizes are of characters.
+    piece = F.floor((F.floor(F.col("share") / PARTS) - 1) * size / octets).cast("int")
+    part = F.floor(size / PARTS).cast("int")
+    starts = [1 + i * part + F.pmod(F.xxhash64("doc_id", F.lit(i)), F.greatest(part - piece + 1, F.lit(1))).cast("int") for i in range(PARTS)]
+    spread = F.array(*[F.substring("text", start, piece) for start in starts])
+    sample = sample.select("lang", "doc_id", "share", F.when(octets < F.col("share"), F.array("text")).otherwise(spread).alias("parts"))
     texts: dict[str, dict] = {}
-    for row in sample.orderBy("lang", "doc_id", "text").toLocalIterator():
-        texts.setdefault(row["lang"], {})[row["doc_id"]] = row["text"].lower().encode()
-    out = {}
-    for lang, found in texts.items():
-        share = DICTIONARY_BYTES // len(found)
-        out[lang] = b"\n".join(x[:share] if len(found) > 1 else x for x in found.values())[:DICTIONARY_BYTES]
-    return out
+    for row in sample.orderBy("lang", "doc_id", "parts").toLocalIterator():
+        most = row["share"] // len(row["parts"]) - 1
+        texts.setdefault(row["lang"], {})[row["doc_id"]] = b"\n".join(x.lower().encode()[:most] for x in row["parts"])
+    return {lang: b"\n".join(found.values())[:DICTIONARY_BYTES] for lang, found in texts.items()}
 
 
 def pieces(text: bytes) -> Iterator[bytes]:

@@ -109,6 +109,19 @@ def test_languages(spark, two_languages):
     assert language.identify(two_languages.limit(0)).count() == 0
 
 
+def test_dictionaries_hold_pieces_of_whole_texts(spark):
+    rng = random.Random(12)
+    header = " ".join(f"header{i}" for i in range(150))
+    rows = [(i, f"{header} " + " ".join(f"{x}word{rng.randrange(50)}" for _ in range(400)), x) for i in range(80) for x in ["pq"[i % 2]]]
+    rows += [(100 + i, " ".join(f"long{rng.randrange(5)}" for _ in range(3000)), "l") for i in range(3)]
+    rows += [(200, "ж" * 70_000 + "я" * 70_000, "r")]
+    found = language.dictionaries(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(False))
+    assert sorted(found) == ["l", "p", "q", "r"] and max(map(len, found.values())) <= language.DICTIONARY_BYTES
+    for x in "pq":
+        assert found[x].count(f"{x}word".encode()) > found[x].count(b"header")
+    assert found["r"].count("ж".encode()) == found["r"].count("я".encode()) > 10_000
+
+
 def test_all_of_a_long_text_counts(spark):
     known = {"xx": b"abc bca cab " * 200, "yy": b"uvw vwu wuv " * 200}
     docs = spark.createDataFrame([(1, "abc bca cab " * 300 + "uvw vwu wuv " * 9000)], "doc_id long, text string")
