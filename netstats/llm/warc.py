@@ -78,7 +78,7 @@ def _opened(path: str, content: bytes) -> io.BufferedIOBase:
 
 
 def parse_arc(path: str, content: bytes) -> Iterator[tuple]:
-    """Rows of ARC_SCHEMA: every record of one file but its version block.
+    """Rows of ARC_SCHEMA: every record of one file but the version block at its start.
 
     The version block tells the fields of all header lines. Fields are taken from the right, so that a url may have
     spaces, and the declared length alone says where a record ends. Where a file breaks off or a header line cannot be
@@ -91,7 +91,8 @@ def parse_arc(path: str, content: bytes) -> Iterator[tuple]:
             if not line.strip():
                 continue
             parts = line.rstrip(b"\r\n").rsplit(b" ", len(fields) - 1)
-            if line.startswith(b"filedesc:"):
+            about = start == 0 and line.startswith(b"filedesc:")
+            if about:
                 parts = line.split()
             if len(parts) < 5 or not parts[-1].isdigit():
                 yield path, start, None, None, None, None, None, None, "header"
@@ -99,7 +100,7 @@ def parse_arc(path: str, content: bytes) -> Iterator[tuple]:
             body = stream.read(int(parts[-1]))
             at += len(body)
             short = "truncated" if len(body) < int(parts[-1]) else None
-            if line.startswith(b"filedesc:"):
+            if about:
                 fields = ARC_FIELDS.get(body[:1], fields)
                 continue
             if len(parts) != len(fields):
@@ -263,19 +264,26 @@ def arc_to_warc(records: DataFrame, path: str) -> None:
     joined.select(value.alias("value")).write.option("lineSep", "\r\n\r\n").option("compression", "gzip").text(path)
 
 
+def sound(records: DataFrame) -> DataFrame:
+    """The records; the job fails at one that could not be read."""
+    failed = F.raise_error(F.concat(F.lit("archive not read: "), F.col("error")))
+    return records.withColumn("error", F.when(F.col("error").isNotNull(), failed.cast("string")))
+
+
 def archived(pages: DataFrame) -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type and refers_to for each row of `pages`, by way of archives.
 
     The pages are written as ARC files to the shared folder, converted to WARC files there, and read back. Null html is
     an empty payload. Repeated rows are repeated records, all but one of them revisits. A null page_id stays
     null and comes after all others. No rows give no rows. Other columns of `pages` are not archived.
+    An archive that breaks off or cannot be read makes the job fail.
     """
     spark = pages.sparkSession
     folder = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
     kind = pages.schema["page_id"].dataType
     write_arc(pages, f"{folder}/arc")
-    arc_to_warc(read_arc(spark, f"{folder}/arc"), f"{folder}/warc")
-    return read_warc(spark, f"{folder}/warc").select(
+    arc_to_warc(sound(read_arc(spark, f"{folder}/arc")), f"{folder}/warc")
+    return sound(read_warc(spark, f"{folder}/warc")).where("error IS NULL").select(
         page_id(F.col("head")).cast(kind).alias("page_id"),
         "payload_bytes",
         "payload_digest",

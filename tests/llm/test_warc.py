@@ -5,6 +5,7 @@ from __future__ import annotations
 import gzip
 import hashlib
 
+import pytest
 from netstats.llm import warc
 from fixtures import rows_of
 
@@ -93,3 +94,19 @@ def test_synthesised_records(spark, tmp_path):
     assert {r.error for r in first} == {None}
     assert full.payload_digest == other.payload_digest == hashlib.sha256(body[len(HTTP) :]).hexdigest()
     assert full.payload_bytes == other.payload_bytes == len(body) - len(HTTP)
+
+
+def test_a_page_may_be_named_like_a_version_block(spark):
+    rows = [(1, "http://a/", LONG), (2, "filedesc://x", "a page"), (3, "filedesc:y", LONG)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(1)
+    assert rows_of(warc.archived(pages), "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to") == plain(rows)
+
+
+def test_a_broken_archive_fails(spark, monkeypatch):
+    def broken(pages, path):
+        content = arc(b"1", (b"http://a/", b"text/html", b"x" * 50), (b"http://b/", b"text/html", b"y" * 50))[:-20]
+        spark.createDataFrame([(content.decode(),)], "value string").write.option("lineSep", "\n").text(path)
+
+    monkeypatch.setattr(warc, "write_arc", broken)
+    with pytest.raises(Exception, match="archive not read: truncated"):
+        warc.archived(spark.createDataFrame([(1, "u", LONG)], "page_id long, url string, html string")).collect()
