@@ -2,101 +2,125 @@
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from netstats.llm.shared import cut, pieces_of
+from netstats.llm.decontaminate import bounded
+from netstats.llm.shared import cut, pieces_of, written
 
 #: Fixed values of the result's contract: what a term is, the documents of a language that it must be in, the least count, the
 #: unit of probabilities, the terms reported.
 TERM, LEAST_DOCS, ADDED, UNIT, TOP_TERMS = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", 30, 5, 1_000_000_000, 50
-#: Chunks (each counted once for a document) that a task holds before it hands on a piece; different ones in the dictionary's pass.
-PIECE, HELD = 1_000_000, 500_000
-
-
-def chunks_of(text: str) -> list[bytes]:
-    """The parts of a text between ASCII white space, A-Z in lower case. No term holds white space, so terms lie within chunks."""
-    return text.encode().lower().split()
+#: Bytes of text that a task counts at a time; the bits of a document's place and group within these.
+PIECE_BYTES, ROW_BITS = 8 << 20, 31
+#: Occurrences of a chunk beyond which its terms' counts are summed in several tasks first.
+HOT = 1_000_000
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """(lang, source, gid): the groups that occur, with numbers from 0 without gaps."""
+    rows = docs.select("lang", "source").distinct().orderBy("lang", "source").withColumn("at", F.monotonically_increasing_id())
+    rows = cut(rows.withColumn("part", F.shiftright("at", 33)).withColumn("place", F.col("at").bitwiseAND(F.lit((1 << 33) - 1))))
+    # A window over one row for each partition.
+    sizes = rows.groupBy("part").agg(F.count("*").alias("size"))
+    before = Window.partitionBy(F.lit(0)).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    first = sizes.select("part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("first"))
+    return cut(rows.join(first, "part").select("lang", "source", (F.col("first") + F.col("place")).cast("int").alias("gid")))
+
+
+def gathered(batches: Iterator[pa.RecordBatch], most: int = 1 << 30) -> Iterator[pa.Table]:
+    """The rows (text last) in tables of about PIECE_BYTES of text and at most so many rows."""
+    held, size, rows = [], 0, 0
+    for batch in batches:
+        for part in pieces_of(iter([batch]), min(200, most)):
+            if held and rows + part.num_rows > most:
+                yield pa.Table.from_batches(held)
+                held, size, rows = [], 0, 0
+            held.append(part)
+            size, rows = size + part.column(part.num_columns - 1).get_total_buffer_size(), rows + part.num_rows
+            if size >= PIECE_BYTES:
+                yield pa.Table.from_batches(held)
+                held, size, rows = [], 0, 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def chunked(texts: pa.ChunkedArray) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """The chunks of the texts one after the other, A-Z in lower case, and how many each text has.
+
+    Chunks lie between ASCII white space. No term holds any, so terms lie within chunks. Empty chunks at the ends of a text count here.
+    """
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(pa.concat_arrays(texts.cast(pa.large_string()).chunks)))
+    return parts.flatten().dictionary_encode(), pc.list_value_length(parts).to_numpy()
 
 
 def dictionary(docs: DataFrame) -> DataFrame:
-    """(chunk, term, k): the terms of each different chunk of all texts, tokenized once, with their number in it."""
+    """(chunk, term, k, total): the terms of each different chunk of all texts, tokenized once; their number in it, its occurrences."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: set[bytes] = set()
-        for batch in pieces_of(batches):
-            for text in batch.column(0).to_pylist():
-                held.update(chunks_of(text))
-                if len(held) >= HELD:
-                    yield pa.RecordBatch.from_arrays([pa.array(held, pa.string())], ["chunk"])
-                    held = set()
-        yield pa.RecordBatch.from_arrays([pa.array(held, pa.string())], ["chunk"])
+        for table in gathered(batches):
+            found = chunked(table.column(0))[0]
+            times = np.bincount(found.indices.to_numpy(), minlength=len(found.dictionary))
+            yield pa.RecordBatch.from_arrays([found.dictionary.cast(pa.string()), pa.array(times, pa.int64())], ["chunk", "total"])
 
-    chunks = docs.select("text").mapInArrow(run, "chunk string").distinct()
-    terms = chunks.select("chunk", F.explode(F.regexp_extract_all("chunk", F.lit(TERM), F.lit(0))).alias("term"))
-    return terms.groupBy("chunk", "term").agg(F.count("*").alias("k"))
+    chunks = docs.select("text").mapInArrow(run, "chunk string, total long").groupBy("chunk").agg(F.sum("total").alias("total"))
+    terms = chunks.select("chunk", "total", F.explode(F.regexp_extract_all("chunk", F.lit(TERM), F.lit(0))).alias("term"))
+    return terms.groupBy("chunk", "term").agg(F.count("*").alias("k"), F.first("total").alias("total"))
 
 
-def postings(docs: DataFrame) -> DataFrame:
-    """(lang, source, piece, chunk, rows, n): the documents of a piece that hold the chunk, and its occurrences in them.
+def postings(docs: DataFrame, shift: int) -> DataFrame:
+    """(piece, chunk, rows, ns): the documents of a piece that hold the chunk, and how often each holds it.
 
-    A piece is a bounded number of documents of one language and source that a task reads one after the other; `rows` are their places in it.
-    So what is shuffled are short lists, and a chunk that a third of all documents hold is one row for each piece.
+    A piece is a bounded number of texts that a task reads one after the other. A row stands for a document: its `gid`, and below, in `shift`
+    bits, its place in the piece. So what is shuffled are lists, and a chunk that a third of all documents hold is one
+    row for each piece.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        piece, held, size = TaskContext.get().partitionId() << 33, {}, 0
-
-        def out() -> Iterator[pa.RecordBatch]:
-            for (lang, source), found in held.items():
-                keys, values = list(found), list(found.values())
-                for at in range(0, len(keys), 50_000):
-                    part = values[at : at + 50_000]
-                    names = [pa.array([x] * len(part), pa.string()) for x in (lang, source)]
-                    lists = pa.array([x[1] for x in part], pa.list_(pa.int32()))
-                    counts = pa.array([x[0] for x in part], pa.int64())
-                    yield pa.RecordBatch.from_arrays(
-                        [*names, pa.array([piece] * len(part), pa.int64()), pa.array(keys[at : at + 50_000], pa.string()), lists, counts],
-                        ["lang", "source", "piece", "chunk", "rows", "n"],
-                    )
-
-        row = 0
-        for batch in pieces_of(batches):
-            for lang, source, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                found = held.setdefault((lang, source), {})
-                counted = Counter(chunks_of(text))
-                for chunk, n in counted.items():
-                    if (entry := found.get(chunk)) is None:
-                        found[chunk] = [n, [row]]
-                    else:
-                        entry[0] += n
-                        entry[1].append(row)
-                size, row = size + len(counted), row + 1
-                if size >= PIECE:
-                    yield from out()
-                    piece, held, size, row = piece + 1, {}, 0, 0
-        yield from out()
-
-    kinds = "lang string, source string, piece long, chunk string, rows array<int>, n long"
-    return docs.select("lang", "source", "text").mapInArrow(run, kinds)
-
-
-def term_counts(docs: DataFrame) -> DataFrame:
-    """(lang, source, term, docs, n): documents with the term, and its occurrences.
-
-    The dictionary's terms are joined back to the chunks. Chunks of one document may share a term, so documents are counted
-    once within each piece, which holds a bounded number of them; pieces share no document.
+        piece = TaskContext.get().partitionId() << 33
+        for table in gathered(batches, 1 << shift):
+            found, many = chunked(table.column(1))
+            row = table.column(0).to_numpy().astype(np.int64) << shift | np.arange(table.num_rows)
+            codes = found.indices.to_numpy().astype(np.int64)
+            pairs, ns = np.unique(codes << ROW_BITS | np.repeat(row, many), return_counts=True)
+            code = pairs >> ROW_BITS
+            offsets = pa.array(np.searchsorted(code, np.arange(len(found.dictionary) + 1)), pa.int32())
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(x, pa.int32())) for x in (pairs & ((1 << ROW_BITS) - 1), ns)]
+            ids = pa.array(np.full(len(found.dictionary), piece))
+            made = pa.RecordBatch.from_arrays([ids, found.dictionary.cast(pa.string()), *lists], ["piece", "chunk", "rows", "ns"])
+            for at in range(0, made.num_rows, 20_000):
+                yield made.slice(at, 20_000)
+            piece += 1
+
+    return docs.select("gid", "text").mapInArrow(run, "piece long, chunk string, rows array<int>, ns array<int>")
+
+
+def term_counts(docs: DataFrame, groups: DataFrame) -> DataFrame:
+    """(gid, term, docs, n): documents of a group with the term, and its occurrences.
+
+    The dictionary's terms are joined back to the chunks. Chunks of one document may share a term, so documents are counted once
+    within each piece; pieces share no document. All pieces of a term meet in one task, but for terms of very common chunks:
+    these meet in several, whose counts are added up.
     """
-    found = postings(docs).join(dictionary(docs), "chunk")
-    pieces = found.groupBy("lang", "source", "piece", "term").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("rows")))).alias("docs"), F.sum(F.col("n") * F.col("k")).alias("n")
-    )
-    return pieces.groupBy("lang", "source", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
+    shift = ROW_BITS - max(1, (groups.count() - 1).bit_length())
+    marked = docs.join(bounded(groups), ["lang", "source"])
+    known = written(dictionary(docs))
+    parts = F.ceil(F.sum("total") / HOT).alias("parts")
+    hot = bounded(cut(known.where(F.col("total") > HOT).groupBy("term").agg(parts)))
+    found = postings(marked, shift).join(known.drop("total"), "chunk").join(hot, "term", "left")
+    ns = F.when(F.col("k") == 1, F.col("ns")).otherwise(F.transform("ns", lambda x: (x * F.col("k")).cast("int")))
+    part = F.pmod(F.hash("piece"), F.coalesce("parts", F.lit(1))).alias("part")
+    placed = found.select("term", part, "piece", "rows", ns.alias("ns")).repartition("term", "part")
+    held = placed.select("term", "part", "piece", F.inline(F.arrays_zip("rows", "ns")).alias("row", "n"))
+    once = held.groupBy("term", "part", "piece", "row").agg(F.sum("n").alias("n"))
+    once = once.groupBy("term", "part", F.shiftright("row", shift).alias("gid")).agg(F.count("*").alias("docs"), F.sum("n").alias("n"))
+    return once.repartition("term").groupBy("term", "gid").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
 
 
 def probability(count: Column, total: Column, terms: Column) -> Column:
@@ -122,17 +146,21 @@ def source_divergence(docs: DataFrame) -> DataFrame:
     of a source have each count; only the last joins sources by term.
     """
     docs = docs.select(*[F.coalesce(c, F.lit("")).alias(c) for c in ("lang", "source", "text")])
-    counts = cut(term_counts(docs))
-    kept = cut(counts.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("all_n")).where(F.col("docs") >= LEAST_DOCS).drop("docs"))
-    langs = kept.groupBy("lang").agg(F.count("*").alias("v"), F.sum("all_n").alias("lang_n"))
-    held = counts.join(kept, ["lang", "term"]).select("lang", "source", "term", "n", "all_n")
+    names = numbered(docs)
+    counts = term_counts(docs, names).join(bounded(names), "gid")
+    together = Window.partitionBy("lang", "term")
+    totals = {"all_docs": F.sum("docs").over(together), "all_n": F.sum("n").over(together)}
+    kept = counts.withColumns(totals).where(F.col("all_docs") >= LEAST_DOCS)
+    held = written(kept.select("lang", "source", "term", "n", "all_n"))
+    langs = held.groupBy("lang", "term").agg(F.first("all_n").alias("all_n")).groupBy("lang")
+    langs = langs.agg(F.count("*").alias("v"), F.sum("all_n").alias("lang_n"))
     sizes = held.groupBy("lang", "source").agg(F.sum("n").alias("size"))
-    groups = docs.select("lang", "source").distinct().join(sizes, ["lang", "source"], "left").join(langs, "lang", "left")
+    groups = names.drop("gid").join(sizes, ["lang", "source"], "left").join(langs, "lang", "left")
     v, size = F.coalesce("v", F.lit(0)), F.coalesce("size", F.lit(0))
     zero = F.when(v > 0, probability(F.lit(0), size, v)).otherwise(0)
     groups = cut(groups.select("lang", "source", v.alias("v"), size.alias("size"), "lang_n", zero.alias("z")))
     held = held.join(groups, ["lang", "source"])
-    held = cut(held.select("lang", "source", "term", "n", "z", probability(F.col("n"), F.col("size"), F.col("v")).alias("p"),
+    held = written(held.select("lang", "source", "term", "n", "z", probability(F.col("n"), F.col("size"), F.col("v")).alias("p"),
                            probability(F.col("all_n"), F.col("lang_n"), F.col("v")).alias("q")))
 
     def named(df: DataFrame, mark: str, *also: str) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from netstats.llm.decontaminate import bounded
 from netstats.llm.shared import pieces_of
 
 #: Bytes of text in the dictionary of a language, at most.
@@ -33,13 +34,17 @@ def dictionaries(docs: DataFrame, held: Column) -> dict[str, bytes]:
 
     A bounded sample: of each language the TRAINING_DOCS documents with the smallest hash, whatever their length. All have the
     same share of the dictionary: a text within it is taken whole, of a longer one a piece of each of PARTS equal parts,
-    at a place that its id picks. Spark keeps no more than that many rows of a language in any task before it
-    shuffles, they are chosen by id alone, and only the pieces come to the driver.
+    at a place that its id picks. A count of each language bounds the hashes that are ranked at all, so a task ranks about four times
+    TRAINING_DOCS rows however many there are; they are chosen by id alone, and only the pieces come to the driver.
     """
     usable = docs.where(~held & F.col("lang").isNotNull() & (F.length(F.trim("text")) > 0))
     by_lang = Window.partitionBy("lang")
     first = by_lang.orderBy(F.xxhash64("doc_id"), "doc_id")
-    picked = usable.select("doc_id", "lang").withColumn("rn", F.row_number().over(first)).where(F.col("rn") <= TRAINING_DOCS)
+    # Of a frequent language only ids with a small hash are ranked: about four times as many as are wanted.
+    sizes = usable.groupBy("lang").agg(F.count("*").alias("size"))
+    place = F.xxhash64("doc_id") / F.lit(2.0**64) + 0.5
+    small = usable.select("doc_id", "lang").join(bounded(sizes), "lang").where(place <= F.lit(4.0 * TRAINING_DOCS) / F.col("size"))
+    picked = small.select("doc_id", "lang").withColumn("rn", F.row_number().over(first)).where(F.col("rn") <= TRAINING_DOCS)
     picked = picked.select("doc_id", "lang", F.floor(F.lit(DICTIONARY_BYTES) / F.count("*").over(by_lang)).alias("share"))
     sample = usable.select("doc_id", "lang", "text").join(F.broadcast(picked.distinct()), ["doc_id", "lang"])
     size, octets = F.length("text"), F.octet_length("text")

@@ -63,7 +63,7 @@ def counts(docs: DataFrame, targets: DataFrame) -> tuple[np.ndarray, np.ndarray]
         used = np.flatnonzero(total[0])
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[0][used]), pa.array(total[1][used])], ["g", "raw", "target"])
 
-    marked = docs.join(F.broadcast(targets), "doc_id", "left").select("text", F.col("chosen").isNotNull().alias("chosen"))
+    marked = docs.select("doc_id", "text").join(F.broadcast(targets), "doc_id", "left").select("text", F.col("chosen").isNotNull().alias("chosen"))
     rows = marked.mapInArrow(run, "g long, raw long, target long").groupBy("g").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
     raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
     for row in rows.collect():
@@ -77,8 +77,8 @@ def log_ratio(raw: np.ndarray, target: np.ndarray) -> np.ndarray:
     return share[0] - share[1]
 
 
-def log_weights(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
-    """doc_id and log_weight, LENGTH times the mean `ratio` of the n-grams of the whole text; 0 where there are none."""
+def log_weights(docs: DataFrame, ratio: np.ndarray, also: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, the columns `also`, and log_weight, LENGTH times the mean `ratio` of the n-grams of the whole text; 0 where there are none."""
     table = ratio.astype(np.float64)
 
     def weight(text: str | None) -> float:
@@ -87,11 +87,12 @@ def log_weights(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces_of(batches):
-            found = [weight(x) for x in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.float64())], ["doc_id", "log_weight"])
+            found = [weight(x) for x in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(found, pa.float64())], ["doc_id", *also, "log_weight"])
 
-    schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("log_weight", T.DoubleType())])
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    kinds = [T.StructField(c, docs.schema[c].dataType) for c in ("doc_id", *also)]
+    schema = T.StructType([*kinds, T.StructField("log_weight", T.DoubleType())])
+    return docs.select("text", "doc_id", *also).mapInArrow(run, schema)
 
 
 def gumbel(key: Column, seed: int) -> Column:
@@ -121,13 +122,18 @@ def kth_largest(values: DataFrame, column: str, k: int) -> float | None:
 
 
 def good_sample(labels: DataFrame) -> DataFrame:
-    """doc_id of the target sample: the TARGET_DOCS ids of label quality 1 with the smallest hash."""
-    good = labels.where("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct()
+    """doc_id of the target sample: the TARGET_DOCS ids of label quality 1 with the smallest hash, without those labelled toxic."""
+    good = labels.where("quality = 1 AND doc_id IS NOT NULL")
+    if "toxic" in labels.columns:
+        good = good.where("coalesce(toxic, 0) = 0")
+    good = good.select("doc_id").distinct()
     return good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TARGET_DOCS).withColumn("chosen", F.lit(True))
 
 
-def resample(docs: DataFrame, labels: DataFrame, k: int | None = None, seed: int = 7) -> DataFrame:
-    """doc_id, log_weight, score and kept for every row of `docs`.
+def resample(
+    docs: DataFrame, labels: DataFrame, k: int | None = None, seed: int = 7, also: tuple[str, ...] = ()
+) -> DataFrame:
+    """doc_id, the columns `also`, log_weight, score and kept for every row of `docs`.
 
     The raw model is fitted on all of `docs`, the target model on the bounded sample of good ones. log_weight is the log
     of how much likelier a text of LENGTH n-grams like those of the document is as target text than as raw text. score
@@ -140,7 +146,7 @@ def resample(docs: DataFrame, labels: DataFrame, k: int | None = None, seed: int
     sample = cut(good_sample(labels))
     raw, target = counts(docs, sample)
     ratio = log_ratio(raw, target) if target.any() else np.zeros(BUCKETS)
-    scored = cut(log_weights(docs, ratio).withColumn("score", F.col("log_weight") + gumbel(F.col("doc_id"), seed)))
+    scored = cut(log_weights(docs, ratio, also).withColumn("score", F.col("log_weight") + gumbel(F.col("doc_id"), seed)))
     if k is None:
         reached = scored.join(F.broadcast(sample), "doc_id").agg(F.percentile("log_weight", F.lit(STRAY))).first()[0] or 0.0
         k = scored.where(F.col("log_weight") >= reached - SLACK * LENGTH).count()

@@ -139,12 +139,13 @@ ORACLES = {
         iw AS (
             SELECT item_id, text AS item, list_filter(regexp_split_to_array(lower(text), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
             FROM i),
+        wide AS (SELECT *, least(len(w), 5) AS width FROM iw WHERE len(w) > 0),
         ts AS (
-            SELECT DISTINCT text, array_to_string(w[g : least(g + 4, len(w))], ' ') AS s
-            FROM tw, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS u(g) WHERE len(w) > 0),
+            SELECT DISTINCT text, array_to_string(w[g : g + width - 1], ' ') AS s
+            FROM tw, (SELECT DISTINCT width FROM wide), unnest(range(1, len(w) - width + 2)) AS u(g)),
         iss AS (
-            SELECT DISTINCT item_id, item, array_to_string(w[g : least(g + 4, len(w))], ' ') AS s
-            FROM iw, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS u(g) WHERE len(w) > 0),
+            SELECT DISTINCT item_id, item, array_to_string(w[g : g + width - 1], ' ') AS s
+            FROM wide, unnest(range(1, len(w) - width + 2)) AS u(g)),
         n AS (SELECT item_id, item, count(*) AS n FROM iss GROUP BY ALL),
         k AS (
             SELECT text, item_id, item, count(*) AS k FROM ts JOIN iss USING (s) GROUP BY ALL),

@@ -6,6 +6,7 @@ import re
 import sys
 import tempfile
 import types
+import uuid
 from collections.abc import Callable, Iterator
 from typing import Any
 
@@ -32,6 +33,19 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame) -> DataFrame:
+    """The same rows as a Parquet table in the shared folder: smaller than `cut`, for rows of many."""
+    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a folder that a job wrote in the shared one and needs no more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def pieces_of(batches: Iterator[pa.RecordBatch], rows: int = 1_000) -> Iterator[pa.RecordBatch]:
     """The batches in pieces of at most so many rows, so that a task holds few texts as Python objects at a time."""
     for batch in batches:

@@ -84,83 +84,6 @@ def test_components_of_chains_and_stars(spark):
     assert components(links.limit(0)).count() == 0
 
 
-def edited(rng, text, n):
-    words = text.split(" ")
-    for i in rng.sample(range(len(words)), n):
-        words[i] = f"new{rng.randrange(10**6)}"
-    return " ".join(words)
-
-
-def test_near_copies(spark):
-    rng = random.Random(11)
-    bases = [sentence(rng, 200, 5000) for _ in range(25)]
-    rows = [(100 * b + i, edited(rng, base, i % 4)) for b, base in enumerate(bases) for i in range(12)]
-    rows += [(9000 + i, edited(rng, base, 60)) for i, base in enumerate(bases)]
-    docs = documents(spark, clashing=True).where("doc_id IS NULL OR doc_id < 60").unionByName(
-        spark.createDataFrame([(50_000 + i, t) for i, t in rows], "doc_id long, text string"), allowMissingColumns=True
-    )
-    found = simhash.near_copies(docs).collect()
-    assert len(found) == docs.count()
-    given = [(r.doc_id, frozenset(simhash.shingle_set(r.text or "", 5))) for r in docs.collect()]
-    roots = list(range(len(given)))
-    for i, (_, a) in enumerate(given):
-        for j, (_, b) in enumerate(given[:i]):
-            both = len(a & b)
-            if roots[i] != roots[j] and both >= 0.8 * (len(a) + len(b) - both):
-                roots = [roots[j] if r == roots[i] else r for r in roots]
-    ids = [i for i, _ in given]
-    smallest = {r: min((i for i, s in zip(ids, roots) if s == r and i is not None), default=None) for r in set(roots)}
-    expected = {i: smallest[r] for i, r in zip(ids, roots) if i is not None}
-    got = {r.doc_id: r.component_id for r in found if r.doc_id is not None}
-    # Nothing is linked wrongly, and nearly all links are found.
-    assert all(expected[i] == expected[c] for i, c in got.items())
-    assert len(set(got.values())) <= len(set(expected.values())) + 3
-    assert simhash.near_copies(empty(spark)).count() == 0
-
-
-def plain_near_copies(rows):
-    sets = [(i, simhash.shingle_set(t, 5)) for i, t in rows]
-    roots = {i: i for i, _ in sets}
-    for i, a in sets:
-        for j, b in sets:
-            if j < i and roots[i] != roots[j] and len(a & b) >= 0.8 * len(a | b):
-                low, high = sorted((roots[i], roots[j]))
-                roots = {k: low if r == high else r for k, r in roots.items()}
-    return roots
-
-
-def test_near_copies_in_a_crowded_bucket(spark):
-    # One set of words in many orders, so all have one fingerprint; each order has one near copy.
-    rng = random.Random(21)
-    words = sentence(rng, 120, 100_000).split(" ")
-    rows = []
-    for i in range(0, 80, 2):
-        order = rng.sample(words, len(words))
-        rows += [(i, " ".join(order)), (i + 1, " ".join([*order[1:], order[0]]))]
-    assert len({simhash.word_print(t) for _, t in rows}) == 1
-    found = simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string"))
-    assert {r.doc_id: r.component_id for r in found.collect()} == plain_near_copies(rows) == {i: i - i % 2 for i in range(80)}
-
-
-def test_near_copies_miss_none(spark):
-    # Short and long texts, edits up to the threshold and beyond, and a passage that most texts share.
-    rng = random.Random(22)
-    passage, rows = sentence(rng, 30), []
-    for n in [6, 12, 25, 40, 60, 90, 150, 400] * 12:
-        base = f"{sentence(rng, n, 5000)} {passage}" if rng.random() < 0.7 else sentence(rng, n, 5000)
-        words = base.split(" ")
-        at, size = rng.randrange(len(words)), rng.randrange(1 + len(words) // 8)
-        changed = [f"new{rng.randrange(10**6)}" if at <= i < at + size else w for i, w in enumerate(words)]
-        rows += [(len(rows), base), (len(rows) + 1, " ".join(changed))]
-    prints = [[h >> up & 0xFFFFFFFF for h in simhash.word_print(t) for up in (0, 32)] for _, t in rows]
-    expected = plain_near_copies(rows)
-    # Some similar texts share no bucket: all their segments differ in more than one bit.
-    apart = [min((a ^ b).bit_count() for a, b in zip(prints[i], prints[i + 1])) > 1 for i in range(0, len(rows), 2)]
-    assert any(x and expected[2 * i + 1] == 2 * i for i, x in enumerate(apart))
-    found = simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string"))
-    assert {r.doc_id: r.component_id for r in found.collect()} == expected
-
-
 @pytest.mark.parametrize("clashing", [False, True])
 def test_exact_groups(spark, clashing):
     docs = documents(spark, clashing=clashing)
