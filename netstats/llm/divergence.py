@@ -43,7 +43,7 @@ def gathered(batches: Iterator[pa.RecordBatch], most: int = 1 << 30) -> Iterator
                 yield pa.Table.from_batches(held)
                 held, size, rows = [], 0, 0
             held.append(part)
-            size, rows = size + part.column(part.num_columns - 1).get_total_buffer_size(), rows + part.num_rows
+            size, rows = size + part.column(part.num_columns - 1).nbytes, rows + part.num_rows
             if size >= PIECE_BYTES:
                 yield pa.Table.from_batches(held)
                 held, size, rows = [], 0, 0
