@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from netstats.functions.fingerprint import slice_of
 from netstats.limits import DEFAULT, Limits
-from netstats.operators.skew import join_null_safe
+from netstats.operators.skew import join_null_safe, split_hot
 
 # The two primes whose remainder by the number of tests is drawn.
 FIRST = 511232941
@@ -41,9 +41,10 @@ def draw(
     group = ["date", "direction", *keys, "ip"]
     if hot_addresses is None:
         return _draw_by_sorting(rows, group)
-    address = ["date", "direction", "ip"]
-    marked = join_null_safe(rows, hot_addresses, address, "left")
-    return _draw_by_slices(marked, group, limits)
+    # Only the rows of hot addresses take the longer way.
+    ordinary, hot = split_hot(rows, hot_addresses, ["date", "direction", "ip"])
+    drawn = _draw_by_sorting(ordinary, group)
+    return drawn.unionByName(_draw_by_slices(hot, group, limits).select(drawn.columns))
 
 
 def _draw_by_sorting(rows: DataFrame, group: list[str]) -> DataFrame:
@@ -68,14 +69,17 @@ def _draw_by_sorting(rows: DataFrame, group: list[str]) -> DataFrame:
 def _draw_by_slices(rows: DataFrame, group: list[str], limits: Limits) -> DataFrame:
     """The same draws for groups of any size.
 
-    A group is cut into slices of the fingerprint space: as many as the tests of its address, where
-    `tests` has their number, ask for, and else one. The sizes of the slices
-    tell which one holds the wanted position, and only that slice is sorted.
-    Copies of a row are counted, not carried. All groups go the same way, so the rows are read once.
+    A group is cut into slices of the fingerprint space: as many as the tests of its address, whose number
+    `tests` has, ask for. Rows without a fingerprint come first in the order, in slices of the speed: the
+    negative ones. The sizes of the slices tell which one holds the wanted position, and only that
+    slice is sorted. Copies of a row are counted, not carried.
     """
-    slices = F.ceil(F.coalesce("tests", F.lit(1)) / F.lit(limits.tests_per_group))
+    slices = F.ceil(F.col("tests") / F.lit(limits.tests_per_group))
+    # Grows with the speed, from 0 to 1; half of it at ten.
+    level = F.greatest(F.coalesce("mbps", F.lit(0.0)), F.lit(0.0)) / (F.greatest(F.coalesce("mbps", F.lit(0.0)), F.lit(0.0)) + 10)
+    unknown = F.least(F.floor(level * slices), slices - 1) - slices
     distinct = (
-        rows.withColumn("slice", slice_of(F.col("fp"), slices))
+        rows.withColumn("slice", F.when(F.col("fp").isNull(), unknown).otherwise(slice_of(F.col("fp"), slices)))
         .groupBy(*group, "slice", *ORDER)
         .agg(F.count(F.lit(1)).alias("copies"))
     )

@@ -5,22 +5,25 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import replace
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from netstats.functions import buckets
 from netstats.functions.numbers import log_mean, plain_round, quoted, steady_round
+from netstats.operators import sketches
 from netstats.operators.quantiles import (
     Quantile,
-    counted_quantiles,
     ranked_value,
+    selected_quantiles,
     with_ranks,
 )
 from netstats.schema import BUCKET_COLUMNS, DIRECTIONS, daily_columns
 
 # The published quartile columns are the 24th, 49th and 74th
-# percentiles; 'documented' gives the ones their description names.
-QUARTILES = {"published": (24, 49, 74), "documented": (25, 50, 75)}
+# percentiles; 'documented' gives the ones their description names. 'sketch' gives
+# about the published ones, from mergeable sketches.
+QUARTILES = {"published": (24, 49, 74), "documented": (25, 50, 75), "sketch": (24, 49, 74)}
 
 
 def _plain_aggregates(short: str) -> dict[str, str]:
@@ -67,12 +70,20 @@ def daily_statistics(
     Bucket counts stay as columns `_dl_bucket0` ... until `histogram` unfolds them.
     One shuffle brings a geography's day together, and ranks, statistics and counts
     are all taken there. With `spread` nothing is brought together before it is
-    aggregated, for geographies with very many samples.
+    aggregated, for geographies with very many samples. With `quartiles` 'sketch' neither is it, and
+    quantiles come from sketches that the same aggregation makes: one shuffle of small rows, no sort.
     """
     by = ["date", *keys]
     plain = {k: v for short in DIRECTIONS for k, v in _plain_aggregates(short).items()}
     rows = drawn.withColumn("bucket", F.expr(buckets.bucket_of("mbps")))
-    if spread:
+    if quartiles == "sketch":
+        stats = rows.groupBy(*by).agg(*_aliased(plain), *[sketches.sketch_of(s) for s in sketches.SERIES])
+        picks = {k: (f"{s}_{q.series}", q) for s in DIRECTIONS for k, q in _quantiles(s, quartiles).items()}
+        stats = stats.withColumns({k: sketches.quantile(name, q.part, q.whole) for k, (name, q) in picks.items()})
+    elif spread:
+        # Read for the statistics and for the quantiles, and dear to draw.
+        drawn = drawn.persist(StorageLevel.MEMORY_AND_DISK)
+        rows = drawn.withColumn("bucket", F.expr(buckets.bucket_of("mbps")))
         stats = rows.groupBy(*by).agg(*_aliased(plain))
         columns = {f"{s}_{c}": (s, c) for s in DIRECTIONS for c in ("mbps", "MinRTT")}
         values = drawn.where("is_first").selectExpr(
@@ -84,7 +95,7 @@ def daily_statistics(
             for short in DIRECTIONS
             for name, pick in _quantiles(short, quartiles).items()
         }
-        found = counted_quantiles(values, by, picks, dict.fromkeys(columns, 3))
+        found = selected_quantiles(values, by, picks, dict.fromkeys(columns, 3))
         stats = stats.join(found, by, "left")
     else:
         together = rows.repartition(*by)

@@ -12,7 +12,7 @@ from netstats.functions.numbers import share, steady_round
 from netstats.limits import DEFAULT, Limits
 from netstats.operators.clean import between_dates
 from netstats.operators.numbering import number
-from netstats.operators.quantiles import Quantile, counted_quantiles, ranked_value, with_ranks
+from netstats.operators.quantiles import Quantile, selected_quantiles, ranked_value, with_ranks
 from netstats.operators.skew import join_null_safe
 
 # Addresses of the platform's own monitoring clients, the metadata
@@ -283,7 +283,7 @@ def fleet_health(
     if rows_at_most > limits.samples_per_group:
         stats = join_null_safe(
             samples.groupBy(*KEYS).agg(*_aggregates()),
-            counted_quantiles(samples, KEYS, QUANTILES, DIGITS),
+            selected_quantiles(samples, KEYS, QUANTILES, DIGITS),
             KEYS,
             "left",
         )

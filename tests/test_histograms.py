@@ -1,11 +1,13 @@
 from __future__ import annotations
 
 import pytest
-from helpers import as_set, both_directions, fp_of, random_rows, speed_test, frame_of
+from helpers import DAY, as_set, both_directions, fp_of, random_rows, speed_test, frame_of
 from pyspark.sql import functions as F
 
 from netstats.levels import LEVELS, REGION
 from netstats.limits import Limits
+from netstats.operators import sketches
+from netstats.operators.quantiles import Quantile, selected_quantiles
 from netstats.operators.sampling import FIRST, SECOND, draw, pair
 from netstats.operators.skew import hot_groups
 from netstats.operators.summary import daily_statistics, histogram
@@ -49,6 +51,52 @@ def test_hot_addresses_give_the_same_draws(spark):
     assert as_set(pair(spread, ["key"])) == as_set(pair(draw(rows, ["key"]), ["key"]))
 
 
+def test_only_hot_addresses_are_sliced(spark):
+    # A hot address whose tests have no id, or share one, next to ordinary ones.
+    i = F.col("id")
+    rows = random_rows(spark, 900).unionByName(
+        spark.range(400).select(
+            F.lit(DAY).alias("date"), F.lit("dl").alias("direction"), F.lit("k0").alias("key"), F.lit("hot").alias("ip"),
+            F.when(i % 4 == 0, 77).cast("bigint").alias("fp"), (i % 97 * 1.5 - 3).alias("mbps"), F.when(i % 3 > 0, i * 1.0).alias("MinRTT"),
+        )
+    )
+    limits = Limits(tests_per_group=100)
+    hot = hot_groups(rows, ["date", "direction", "ip"], limits.tests_per_group)
+    assert 0 < hot.count() < rows.select("date", "direction", "ip").distinct().count()
+    assert as_set(pair(draw(rows, ["key"], hot, limits), ["key"])) == as_set(pair(draw(rows, ["key"]), ["key"]))
+
+
+@pytest.mark.parametrize("values", [[5.0], [1.0, 1.0], [0.001, 4_000_000.0, 3.0], [-2.5, None, 7.125, 0.0], [None]])
+def test_selected_quantiles(spark, values, monkeypatch):
+    picks = {f"q{p}": Quantile("x", p, 100) for p in (0, 1, 24, 50, 74, 100)}
+    rows = spark.createDataFrame([("a", v) for v in values] + [(None, v * 2.0) for v in range(500)], "k string, x double")
+    found = {r.k: r for r in selected_quantiles(rows, ["k"], picks, {"x": 3}).collect()}
+    given = sorted(v for v in values if v is not None)
+    for name, q in picks.items():
+        assert found[None][name] == 2.0 * (max(-(-500 * q.part // 100), 1) - 1)
+        if given:
+            assert found["a"][name] == given[max(-(-len(given) * q.part // 100), 1) - 1]
+    assert given or "a" not in found
+    if len(given) > 2:
+        monkeypatch.setattr("netstats.operators.quantiles.BINS", 4)
+        with pytest.raises(Exception, match="differ by more than"):
+            selected_quantiles(rows, ["k"], picks, {"x": 3}).collect()
+
+
+def test_sketches_merge_over_days(spark):
+    rows = spark.range(20_000).select(
+        (F.lit(DAY) + (F.col("id") % 5).cast("int")).alias("date"), F.lit("k").alias("key"), F.lit("dl").alias("direction"),
+        (F.col("id") % 2 == 0).alias("is_first"), F.col("id").cast("double").alias("mbps"), F.lit(None).cast("double").alias("MinRTT"),
+    )
+    daily = sketches.daily_sketches(rows, ["key"])
+    assert daily.count() == 5
+    row = sketches.merged(daily, ["key"]).select(
+        sketches.samples("dl_mbps").alias("n"), sketches.quantile("dl_mbps", 1, 2).alias("half"),
+        sketches.quantile("dl_MinRTT", 1, 2).alias("none"), sketches.samples("ul_mbps").alias("no"),
+    ).first()
+    assert row.n == 10_000 and abs(row.half / 20_000 - 0.5) <= sketches.RANK_ERROR and row.none is None and row.no == 0
+
+
 def test_few_hot_addresses_are_found(spark):
     rows = random_rows(spark, 300)
     assert hot_groups(rows, ["date", "direction", "ip"], 300) is None

@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import re
+from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from helpers import DAY, daily_frame
+from pyspark.sql import functions as F
 
 from netstats.levels import LEVELS
 from netstats.operators.clean import between_dates
 from netstats.plans.histograms import level_histogram, prepare
-from netstats.plans.refresh import share_rows
+from netstats.operators.quantiles import Quantile, selected_quantiles
+from netstats.plans.refresh import read_shards, replace_range, share_rows
 
 
 def plan_of(df):
@@ -55,3 +59,36 @@ def test_shared_rows_are_not_shuffled_again(tests):
         below_cache = plan.index("InMemoryTableScan")
         assert len(re.findall("Exchange hashpartitioning", plan[:below_cache])) == 1
     prepared.rows.unpersist()
+
+
+def test_sketched_level_takes_no_window(tests):
+    table = level_histogram("cities_asn", prepare(tests, rows_at_most=10), quartiles="sketch")
+    plan = plan_of(table)
+    # The samples are drawn by a window; none ranks their values.
+    assert "kll_sketch_agg_double" in plan and "_rank_mbps" not in plan and "Python" not in plan
+    assert shuffles(table) == 2
+
+
+def test_selection_takes_no_window(spark):
+    rows = spark.range(100).selectExpr("id % 3 AS k", "CAST(id AS DOUBLE) AS x")
+    found = selected_quantiles(rows, ["k"], {"half": Quantile("x", 1, 2)}, {"x": 3})
+    assert "Window" not in plan_of(found)
+    assert found.count() == 3
+
+
+def test_reading_a_shard_skips_row_groups(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("netstats.plans.refresh.ROW_GROUP_BYTES", 4096)
+    rows = spark.range(20_000).select(F.lit(DAY).alias("date"), (F.col("id") * 7919 % 400).alias("shard"), F.md5(F.col("id").cast("string")).alias("v"))
+    replace_range(rows.repartition(4), str(tmp_path / "t"), str(DAY), str(DAY))
+    found = read_shards(spark, str(tmp_path / "t"), 17, 17)
+    scan = next(x for x in plan_of(found).splitlines() if "FileScan" in x)
+    assert "GreaterThanOrEqual(shard,17)" in scan and "LessThanOrEqual(shard,17)" in scan
+    assert found.count() == 50
+    groups = holding = 0
+    for file in Path(tmp_path / "t").rglob("*.parquet"):
+        meta = pq.ParquetFile(file).metadata
+        at = meta.schema.names.index("shard")
+        bounds = [meta.row_group(i).column(at).statistics for i in range(meta.num_row_groups)]
+        assert all(a.max <= b.min for a, b in zip(bounds, bounds[1:]))
+        groups, holding = groups + len(bounds), holding + sum(b.min <= 17 <= b.max for b in bounds)
+    assert groups >= 8 and holding <= groups // 4

@@ -17,7 +17,8 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="tables are no
 QUICK = [
     "level_continents", "level_states_asn", "level_counties", "parse_addresses", "ip_sample",
     "anti_join_connections", "hop_files", "canary_stats", "export_json", "filings_by_county",
-    "halfyear_wide", "map_join", "pip_join", "dissolve_edges",
+    "halfyear_wide", "map_join", "pip_join", "dissolve_edges", "exported_shard", "monthly_quantiles",
+    "level_continents_sketch", "level_countries_from_files", "level_regions_spread",
 ]
 
 
@@ -33,5 +34,11 @@ def test_query_equals_sql(spark, name):
     assert ": ok, " in report, report
 
 
+def test_every_sql_can_be_a_view():
+    con = connect(SF_DIR)
+    for name, sql in registry.oracle_sql().items():
+        con.execute(f"CREATE VIEW view_{name} AS {sql}")
+
+
 def test_entry(spark):
     assert registry.entry(spark).count() > 0

@@ -97,6 +97,29 @@ ORACLES["exported_files"] = _files_sql(
     "date, bucket_min",
 )
 
+_region_files = _files_sql(
+    "regions",
+    "'v0/' || continent_code || '/' || country_code || '/' || \"ISO3166_2region1\" || '/' || year || '/histogram_daily_stats.json'",
+    "date, bucket_min",
+)
+ORACLES["exported_shard"] = _region_files.replace(
+    "WITH rows AS (",
+    f"""WITH sizes AS (SELECT shard, count(*) AS n FROM ({level_sql("regions")}) GROUP BY shard),
+rows AS (SELECT * FROM (""",
+    1,
+).replace(
+    "),\nlines AS",
+    ") WHERE shard = (SELECT shard FROM sizes ORDER BY n DESC, shard LIMIT 1)),\nlines AS",
+    1,
+)
+ORACLES["level_countries_from_files"] = f"""
+SELECT * FROM ({level_sql("countries")}) WHERE date BETWEEN DATE '2024-01-08' AND DATE '2024-01-21'"""
+ORACLES["level_continents_sketch"] = level_sql("continents")
+_continents = LEVELS["continents"]
+ORACLES["monthly_quantiles"] = f"""WITH {SHIPMENTS}, {located(_continents)}, {drawn(_continents)}
+SELECT CAST(date_trunc('month', date) AS DATE) AS month, continent_code, direction, count(*) AS samples, TRUE AS within_bound
+FROM drawn GROUP BY ALL"""
+
 ORACLES["pip_join"] = """
 WITH points AS (
   SELECT c_custkey, c_custkey * 7919 % 36000 / 100.0::DOUBLE - 180 + 0.005::DOUBLE AS lon,
@@ -305,11 +328,16 @@ _VALUES = (
 )
 
 
+# The half-years of the line items.
+_HALF_YEARS = [f"{year}_{half}" for year in range(1995, 2002) for half in ("jan_jun", "july_dec")]
+
+
 def _wide(digits: int) -> str:
-    """The summary with a column for each half-year that occurs and each value."""
-    values = ", ".join(f"max({v}) AS {v}" for v in _VALUES)
-    summary = f"(WITH {_statistics_cte(digits)}, {_SUMMARY} SELECT * FROM summary)"
-    return f"(PIVOT {summary} ON period USING {values} GROUP BY geo_id)"
+    """The summary with a column for each half-year and each value."""
+    values = ", ".join(
+        f"max({v}) FILTER (WHERE period = '{p}') AS \"{p}_{v}\"" for p in _HALF_YEARS for v in _VALUES
+    )
+    return f"(WITH {_statistics_cte(digits)}, {_SUMMARY} SELECT geo_id, {values} FROM summary GROUP BY geo_id)"
 
 
 ORACLES["halfyear_wide"] = f"SELECT * FROM {_wide(5)}"

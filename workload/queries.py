@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from netstats.functions.address import parse_ip
 from netstats.levels import LEVELS
 from netstats.limits import Limits
+from netstats.operators import sketches
 from netstats.operators.clean import level_rows
 from netstats.operators.sampling import pair
 from netstats.operators.skew import join_null_safe
@@ -21,10 +22,11 @@ from netstats.operators.spatial import dissolve, locate_points
 from netstats.operators.summary import daily_statistics
 from netstats.plans import annotation, export, fleet, jobs, mapdata
 from netstats.plans.histograms import Prepared, draws, level_histogram, prepare
-from netstats.plans.refresh import refresh
+from netstats.plans.refresh import read_shards, refresh
 from netstats.schema import BUCKET_COLUMNS, daily_columns
 from netstats.sources.filings import consumer_filings, read_filings
 from netstats.sources.geography import boundaries_from_wkt, read_census, read_geojson, tract_ids
+from netstats.sources.measurements import read_tests
 from netstats.sources.statistics import read_statistics
 from workload import tables
 
@@ -190,6 +192,57 @@ def _refreshed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{root}/countries")
 
 
+@register("exported_shard")
+def _exported_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The files of a table's largest shard, read from its folder."""
+    root = _scratch(spark)
+    refresh(tables.measurements(spark, sf_dir), "2024-01-01", "2024-01-31", root, ["regions"])
+    sizes = export.shard_sizes(spark.read.parquet(f"{root}/regions"))
+    largest = sizes.orderBy(F.desc("rows"), "shard").first()["shard"]
+    return export.file_contents(read_shards(spark, f"{root}/regions", largest, largest).drop("year"), "regions")
+
+
+@register("level_countries_from_files")
+def _level_countries_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The country level for two weeks of downloads and uploads kept in files by day."""
+    root, tests = _scratch(spark), tables.measurements(spark, sf_dir)
+    for direction, name in (("dl", "downloads"), ("ul", "uploads")):
+        tests.where(F.col("direction") == direction).drop("direction").write.partitionBy("date").parquet(f"{root}/{name}")
+    found = read_tests(spark, f"{root}/downloads", f"{root}/uploads", "2024-01-08", "2024-01-21")
+    return level_histogram("countries", prepare(found))
+
+
+@register("level_continents_sketch")
+def _level_continents_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The continent level with quantiles from sketches, which are exact for days of this size."""
+    return level_histogram("continents", _prepared(spark, sf_dir), quartiles="sketch")
+
+
+@register("monthly_quantiles")
+def _monthly_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of days merged by month: samples, and whether all quartiles' ranks are within the bound."""
+    drawn, month = draws("continents", _prepared_shipments(spark, sf_dir)), F.trunc("date", "month").alias("month")
+    by = ["month", "continent_code", "direction"]
+    monthly = sketches.merged(sketches.daily_sketches(drawn, ["continent_code"]).withColumn("month", month), by[:2])
+    names = F.array(*[
+        F.struct(
+            F.lit(short).alias("direction"), sketches.samples(f"{short}_mbps").alias("samples"), F.lit(p / 100).alias("p"),
+            sketches.quantile(f"{short}_mbps", p, 100).alias("q"),
+        )
+        for short in ("dl", "ul") for p in (24, 49, 74)
+    ])
+    found = monthly.select("month", "continent_code", F.inline(names)).where("samples > 0")
+    values = drawn.where("is_first").select(month, "continent_code", "direction", "mbps")
+    ranks = values.join(found, by).groupBy(*by, "samples", "p").agg(
+        F.count_if(F.col("mbps") < F.col("q")).alias("below"), F.count_if(F.col("mbps") <= F.col("q")).alias("upto")
+    )
+    error = F.lit(sketches.RANK_ERROR) * F.col("samples") + 1
+    wanted = F.col("p") * F.col("samples")
+    return ranks.groupBy(*by, "samples").agg(
+        F.bool_and((F.col("below") <= wanted + error) & (F.col("upto") >= wanted - error)).alias("within_bound")
+    )
+
+
 @register("pip_join")
 def _pip_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = tables.points(spark, sf_dir)
