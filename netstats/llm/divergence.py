@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,6 +20,8 @@ from netstats.llm.shared import cut, pieces_of, written
 TERM, LEAST_DOCS, ADDED, UNIT, TOP_TERMS = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", 30, 5, 1_000_000_000, 50
 #: Bytes of text that a task counts at a time; the bits of a document's place and group within these.
 PIECE_BYTES, ROW_BITS = 8 << 20, 31
+#: Bits of the filter of chunks that matter: 16 MB.
+FILTER_BITS = 1 << 27
 #: Occurrences of a chunk beyond which its terms' counts are summed in several tasks first.
 HOT = 1_000_000
 
@@ -74,53 +77,113 @@ def dictionary(docs: DataFrame) -> DataFrame:
     return terms.groupBy("chunk", "term").agg(F.count("*").alias("k"), F.first("total").alias("total"))
 
 
-def postings(docs: DataFrame, shift: int) -> DataFrame:
+def filter_bits(chunks: DataFrame) -> np.ndarray:
+    """One bit for each of FILTER_BITS hashes, set where one of `chunks` (chunk) has it: a filter of fixed size."""
+    place = F.pmod(F.xxhash64("chunk"), F.lit(FILTER_BITS))
+    bits = chunks.select(F.floor(place / 32768).alias("at"), (place % 32768).alias("bit"))
+    out = np.zeros(FILTER_BITS // 8, np.uint8)
+    for at, held in bits.groupBy("at").agg(F.bitmap_construct_agg("bit")).collect():
+        out[at * 4096 : (at + 1) * 4096] = np.frombuffer(held, np.uint8)
+    return out
+
+
+def postings(docs: DataFrame, shift: int, wanted: DataFrame) -> DataFrame:
     """(piece, chunk, rows, ns): the documents of a piece that hold the chunk, and how often each holds it.
 
     A piece is a bounded number of texts that a task reads one after the other. A row stands for a document: its `gid`, and below, in `shift`
     bits, its place in the piece. So what is shuffled are lists, and a chunk that a third of all documents hold is one
-    row for each piece.
+    row for each piece. Chunks that are not in `wanted` (chunk) are left out, but for a few whose hashes meet.
     """
+    bits = docs.sparkSession.sparkContext.broadcast(filter_bits(wanted))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         piece = TaskContext.get().partitionId() << 33
         for table in gathered(batches, 1 << shift):
             found, many = chunked(table.column(1))
+            hashes = np.fromiter((xxhash.xxh64_intdigest(x, 42) for x in found.dictionary.to_pylist()), np.uint64, len(found.dictionary))
+            at = (hashes & np.uint64(FILTER_BITS - 1)).astype(np.int64)
+            usable = bits.value[at >> 3] >> (at & 7).astype(np.uint8) & 1 == 1
             row = table.column(0).to_numpy().astype(np.int64) << shift | np.arange(table.num_rows)
             codes = found.indices.to_numpy().astype(np.int64)
-            pairs, ns = np.unique(codes << ROW_BITS | np.repeat(row, many), return_counts=True)
-            code = pairs >> ROW_BITS
-            offsets = pa.array(np.searchsorted(code, np.arange(len(found.dictionary) + 1)), pa.int32())
+            pairs = (codes << ROW_BITS | np.repeat(row, many))[usable[codes]]
+            pairs, ns = np.unique(pairs, return_counts=True)
+            kept = np.flatnonzero(usable)
+            offsets = pa.array(np.append(np.searchsorted(pairs >> ROW_BITS, kept), len(pairs)), pa.int32())
             lists = [pa.ListArray.from_arrays(offsets, pa.array(x, pa.int32())) for x in (pairs & ((1 << ROW_BITS) - 1), ns)]
-            ids = pa.array(np.full(len(found.dictionary), piece))
-            made = pa.RecordBatch.from_arrays([ids, found.dictionary.cast(pa.string()), *lists], ["piece", "chunk", "rows", "ns"])
-            for at in range(0, made.num_rows, 20_000):
-                yield made.slice(at, 20_000)
+            ids = pa.array(np.full(len(kept), piece))
+            chunks = found.dictionary.take(pa.array(kept)).cast(pa.string())
+            made = pa.RecordBatch.from_arrays([ids, chunks, *lists], ["piece", "chunk", "rows", "ns"])
+            for start in range(0, made.num_rows, 20_000):
+                yield made.slice(start, 20_000)
             piece += 1
 
     return docs.select("gid", "text").mapInArrow(run, "piece long, chunk string, rows array<int>, ns array<int>")
 
 
+def _merged(placed: DataFrame, shift: int) -> DataFrame:
+    """(term, gid, docs, n) of rows (term, piece, k, rows, ns) that lie together and in order by term and piece.
+
+    Chunks of one document may share a term, so the lists of a piece are merged first. A task holds some of them, and at most one piece's
+    lists of a term over.
+    """
+
+    def merge(table: pa.Table) -> pa.RecordBatch:
+        term, piece = (table.column(c).combine_chunks() for c in ("term", "piece"))
+        new_term = np.append(True, pc.not_equal(term[1:], term[:-1]).to_numpy(zero_copy_only=False))
+        new = new_term | np.append(True, np.diff(piece.to_numpy()) != 0)
+        rows, ns = (table.column(c).combine_chunks() for c in ("rows", "ns"))
+        many = pc.list_value_length(rows).to_numpy()
+        key = np.repeat(np.cumsum(new) - 1, many) << ROW_BITS | rows.flatten().to_numpy().astype(np.int64)
+        times = ns.flatten().to_numpy() * np.repeat(table.column("k").to_numpy(), many)
+        order = np.argsort(key, kind="stable")
+        key, times = key[order], times[order]
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        one, total = key[first], np.add.reduceat(times, first)
+        which = (np.cumsum(new_term) - 1)[np.flatnonzero(new)][one >> ROW_BITS]
+        both = which << ROW_BITS | (one & ((1 << ROW_BITS) - 1)) >> shift
+        order = np.argsort(both, kind="stable")
+        both, total = both[order], total[order]
+        first = np.flatnonzero(np.append(True, both[1:] != both[:-1]))
+        docs = np.diff(np.append(first, len(both)))
+        names = term.take(pa.array(np.flatnonzero(new_term)[both[first] >> ROW_BITS]))
+        gid = pa.array(both[first] & ((1 << ROW_BITS) - 1), pa.int32())
+        return pa.RecordBatch.from_arrays([names, gid, pa.array(docs), pa.array(np.add.reduceat(total, first))], ["term", "gid", "docs", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in pieces_of(batches, 2_000):
+            table = pa.Table.from_batches([batch])
+            table = table if held is None else pa.concat_tables([held, table])
+            term, piece = table.column("term"), table.column("piece")
+            same = pc.and_(pc.equal(term, term[-1]), pc.equal(piece, piece[-1])).to_numpy()
+            over = len(same) - int(same.sum())
+            if over:
+                yield merge(table.slice(0, over))
+            held = table.slice(over)
+        if held is not None:
+            yield merge(held)
+
+    return placed.select("term", "piece", "k", "rows", "ns").mapInArrow(run, "term string, gid int, docs long, n long")
+
+
 def term_counts(docs: DataFrame, groups: DataFrame) -> DataFrame:
     """(gid, term, docs, n): documents of a group with the term, and its occurrences.
 
-    The dictionary's terms are joined back to the chunks. Chunks of one document may share a term, so documents are counted once
-    within each piece; pieces share no document. All pieces of a term meet in one task, but for terms of very common chunks:
-    these meet in several, whose counts are added up.
+    Of terms that occur fewer than LEAST_DOCS times none is given. The dictionary's other terms are joined back to the chunks. All
+    pieces of a term meet in one task, but for terms of very common chunks: these meet in several, whose
+    counts are added up.
     """
     shift = ROW_BITS - max(1, (groups.count() - 1).bit_length())
     marked = docs.join(bounded(groups), ["lang", "source"])
     known = written(dictionary(docs))
+    totals = known.groupBy("term").agg(F.sum(F.col("total") * F.col("k")).alias("all")).where(F.col("all") >= LEAST_DOCS)
+    known = written(known.join(totals.select("term"), "term", "left_semi"))
     parts = F.ceil(F.sum("total") / HOT).alias("parts")
     hot = bounded(cut(known.where(F.col("total") > HOT).groupBy("term").agg(parts)))
-    found = postings(marked, shift).join(known.drop("total"), "chunk").join(hot, "term", "left")
-    ns = F.when(F.col("k") == 1, F.col("ns")).otherwise(F.transform("ns", lambda x: (x * F.col("k")).cast("int")))
-    part = F.pmod(F.hash("piece"), F.coalesce("parts", F.lit(1))).alias("part")
-    placed = found.select("term", part, "piece", "rows", ns.alias("ns")).repartition("term", "part")
-    held = placed.select("term", "part", "piece", F.inline(F.arrays_zip("rows", "ns")).alias("row", "n"))
-    once = held.groupBy("term", "part", "piece", "row").agg(F.sum("n").alias("n"))
-    once = once.groupBy("term", "part", F.shiftright("row", shift).alias("gid")).agg(F.count("*").alias("docs"), F.sum("n").alias("n"))
-    return once.repartition("term").groupBy("term", "gid").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
+    found = postings(marked, shift, known.select("chunk").distinct()).join(known.drop("total"), "chunk").join(hot, "term", "left")
+    placed = found.withColumn("part", F.pmod(F.hash("piece"), F.coalesce("parts", F.lit(1)))).drop("chunk", "parts")
+    merged = _merged(placed.repartition("term", "part").sortWithinPartitions("term", "piece"), shift)
+    return merged.groupBy("term", "gid").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
 
 
 def probability(count: Column, total: Column, terms: Column) -> Column:
