@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +19,7 @@ from netstats.llm.shared import cut, pieces_of, written
 #: unit of probabilities, the terms reported.
 TERM, LEAST_DOCS, ADDED, UNIT, TOP_TERMS = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", 30, 5, 1_000_000_000, 50
 #: Bytes of text that a task counts at a time; the bits of a document's place and group within these.
-PIECE_BYTES, ROW_BITS = 8 << 20, 31
+PIECE_BYTES, ROW_BITS = 16 << 20, 31
 #: Bits of the filter of chunks that matter: 16 MB.
 FILTER_BITS = 1 << 27
 #: Occurrences of a chunk beyond which its terms' counts are summed in several tasks first.
@@ -87,8 +87,8 @@ def filter_bits(chunks: DataFrame) -> np.ndarray:
     return out
 
 
-def postings(docs: DataFrame, shift: int, wanted: DataFrame) -> DataFrame:
-    """(piece, chunk, rows, ns): the documents of a piece that hold the chunk, and how often each holds it.
+def _counted(docs: DataFrame, shift: int, wanted: DataFrame, lists: Callable, kinds: str) -> DataFrame:
+    """(piece, chunk, ...): what `lists` makes of the chunks of each piece of `docs` (gid, text) and the documents that hold them.
 
     A piece is a bounded number of texts that a task reads one after the other. A row stands for a document: its `gid`, and below, in `shift`
     bits, its place in the piece. So what is shuffled are lists, and a chunk that a third of all documents hold is one
@@ -108,16 +108,43 @@ def postings(docs: DataFrame, shift: int, wanted: DataFrame) -> DataFrame:
             pairs = (codes << ROW_BITS | np.repeat(row, many))[usable[codes]]
             pairs, ns = np.unique(pairs, return_counts=True)
             kept = np.flatnonzero(usable)
-            offsets = pa.array(np.append(np.searchsorted(pairs >> ROW_BITS, kept), len(pairs)), pa.int32())
-            lists = [pa.ListArray.from_arrays(offsets, pa.array(x, pa.int32())) for x in (pairs & ((1 << ROW_BITS) - 1), ns)]
-            ids = pa.array(np.full(len(kept), piece))
-            chunks = found.dictionary.take(pa.array(kept)).cast(pa.string())
-            made = pa.RecordBatch.from_arrays([ids, chunks, *lists], ["piece", "chunk", "rows", "ns"])
-            for start in range(0, made.num_rows, 20_000):
-                yield made.slice(start, 20_000)
+            if len(pairs):
+                key, columns = lists(pairs, ns)
+                offsets = pa.array(np.append(np.searchsorted(key >> ROW_BITS, kept), len(key)), pa.int32())
+                made = [pa.ListArray.from_arrays(offsets, pa.array(x, kind)) for x, kind in columns]
+                chunks = found.dictionary.take(pa.array(kept)).cast(pa.string())
+                names = ["piece", "chunk", *(f"x{i}" for i in range(len(made)))]
+                batch = pa.RecordBatch.from_arrays([pa.array(np.full(len(kept), piece)), chunks, *made], names)
+                for start in range(0, batch.num_rows, 20_000):
+                    yield batch.slice(start, 20_000)
             piece += 1
 
-    return docs.select("gid", "text").mapInArrow(run, "piece long, chunk string, rows array<int>, ns array<int>")
+    return docs.select("gid", "text").mapInArrow(run, f"piece long, chunk string, {kinds}")
+
+
+def postings(docs: DataFrame, shift: int, wanted: DataFrame) -> DataFrame:
+    """(piece, chunk, rows, ns): the documents of a piece that hold the chunk, and how often each holds it."""
+
+    def lists(pairs: np.ndarray, ns: np.ndarray) -> tuple:
+        return pairs, [(pairs & ((1 << ROW_BITS) - 1), pa.int32()), (ns, pa.int32())]
+
+    found = _counted(docs, shift, wanted, lists, "x0 array<int>, x1 array<int>")
+    return found.withColumnsRenamed({"x0": "rows", "x1": "ns"})
+
+
+def group_counts(docs: DataFrame, shift: int, wanted: DataFrame) -> DataFrame:
+    """(chunk, gids, counts): the groups of a piece's documents that hold the chunk; of each the documents, 32 bits up, and occurrences."""
+
+    def lists(pairs: np.ndarray, ns: np.ndarray) -> tuple:
+        # Rows begin with the group, so a group's documents lie together.
+        group = pairs >> shift
+        first = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+        docs = np.diff(np.append(first, len(pairs)))
+        gids = (pairs[first] & ((1 << ROW_BITS) - 1)) >> shift
+        return pairs[first], [(gids, pa.int32()), (docs << 32 | np.add.reduceat(ns, first), pa.int64())]
+
+    found = _counted(docs, shift, wanted, lists, "x0 array<int>, x1 array<bigint>")
+    return found.drop("piece").withColumnsRenamed({"x0": "gids", "x1": "counts"})
 
 
 def _merged(placed: DataFrame, shift: int) -> DataFrame:
@@ -166,24 +193,48 @@ def _merged(placed: DataFrame, shift: int) -> DataFrame:
     return placed.select("term", "piece", "k", "rows", "ns").mapInArrow(run, "term string, gid int, docs long, n long")
 
 
-def term_counts(docs: DataFrame, groups: DataFrame) -> DataFrame:
-    """(gid, term, docs, n): documents of a group with the term, and its occurrences.
+def kept_terms(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(lang, source, term, n, all_n) of the terms in LEAST_DOCS documents of their language, and (lang, source) of all groups.
 
-    Of terms that occur fewer than LEAST_DOCS times none is given. The dictionary's other terms are joined back to the chunks. All
-    pieces of a term meet in one task, but for terms of very common chunks: these meet in several, whose
-    counts are added up.
+    The dictionary's terms are joined back to the chunks. Occurrences add up. Documents do not, for chunks of one document may share a
+    term; but a term is in no fewer documents than any one of its chunks, and in no more than all of them together. Where that
+    does not tell whether there are LEAST_DOCS, the documents themselves are compared, piece by piece.
     """
-    shift = ROW_BITS - max(1, (groups.count() - 1).bit_length())
-    marked = docs.join(bounded(groups), ["lang", "source"])
+    names = numbered(docs)
+    shift = ROW_BITS - max(1, (names.count() - 1).bit_length())
+    marked = docs.join(bounded(names), ["lang", "source"])
     known = written(dictionary(docs))
     totals = known.groupBy("term").agg(F.sum(F.col("total") * F.col("k")).alias("all")).where(F.col("all") >= LEAST_DOCS)
     known = written(known.join(totals.select("term"), "term", "left_semi"))
+    found = group_counts(marked, shift, known.select("chunk").distinct()).join(known.drop("total"), "chunk")
+    rows = found.select("chunk", "term", "k", F.inline(F.arrays_zip("gids", "counts")).alias("gid", "count"))
+    each = rows.groupBy("chunk", "term", "k", "gid").agg(
+        F.sum(F.shiftright("count", 32)).alias("docs"), F.sum(F.col("count").bitwiseAND(F.lit((1 << 32) - 1))).alias("n")
+    )
+    counts = each.groupBy("term", "gid").agg(F.sum("docs").alias("most"), F.max("docs").alias("least"), F.sum(F.col("n") * F.col("k")).alias("n"))
+    together = Window.partitionBy("lang", "term")
+    sums = {f"all_{c}": F.sum(c).over(together) for c in ("most", "least", "n")}
+    likely = counts.join(bounded(names), "gid").withColumns(sums).where(F.col("all_most") >= LEAST_DOCS)
+    likely = written(likely.select("lang", "source", "term", "n", "all_n", (F.col("all_least") >= LEAST_DOCS).alias("sure")))
+    open_terms = likely.where("NOT sure").select("term").distinct()
+    doubtful = written(known.join(open_terms, "term", "left_semi"))
+    exact = _exact_docs(marked, doubtful, shift).join(bounded(names), "gid")
+    exact = exact.groupBy("lang", "term").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= LEAST_DOCS)
+    more = likely.where("NOT sure").join(exact, ["lang", "term"], "left_semi")
+    return written(likely.where("sure").unionByName(more).drop("sure")), names.drop("gid")
+
+
+def _exact_docs(marked: DataFrame, known: DataFrame, shift: int) -> DataFrame:
+    """(term, gid, docs) of the terms of `known`: documents, each counted once.
+
+    All pieces of a term meet in one task, but for terms of very common chunks: these meet in several, whose counts are added up.
+    """
     parts = F.ceil(F.sum("total") / HOT).alias("parts")
     hot = bounded(cut(known.where(F.col("total") > HOT).groupBy("term").agg(parts)))
     found = postings(marked, shift, known.select("chunk").distinct()).join(known.drop("total"), "chunk").join(hot, "term", "left")
     placed = found.withColumn("part", F.pmod(F.hash("piece"), F.coalesce("parts", F.lit(1)))).drop("chunk", "parts")
     merged = _merged(placed.repartition("term", "part").sortWithinPartitions("term", "piece"), shift)
-    return merged.groupBy("term", "gid").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
+    return merged.groupBy("term", "gid").agg(F.sum("docs").alias("docs"))
 
 
 def probability(count: Column, total: Column, terms: Column) -> Column:
@@ -209,16 +260,11 @@ def source_divergence(docs: DataFrame) -> DataFrame:
     of a source have each count; only the last joins sources by term.
     """
     docs = docs.select(*[F.coalesce(c, F.lit("")).alias(c) for c in ("lang", "source", "text")])
-    names = numbered(docs)
-    counts = term_counts(docs, names).join(bounded(names), "gid")
-    together = Window.partitionBy("lang", "term")
-    totals = {"all_docs": F.sum("docs").over(together), "all_n": F.sum("n").over(together)}
-    kept = counts.withColumns(totals).where(F.col("all_docs") >= LEAST_DOCS)
-    held = written(kept.select("lang", "source", "term", "n", "all_n"))
+    held, names = kept_terms(docs)
     langs = held.groupBy("lang", "term").agg(F.first("all_n").alias("all_n")).groupBy("lang")
     langs = langs.agg(F.count("*").alias("v"), F.sum("all_n").alias("lang_n"))
     sizes = held.groupBy("lang", "source").agg(F.sum("n").alias("size"))
-    groups = names.drop("gid").join(sizes, ["lang", "source"], "left").join(langs, "lang", "left")
+    groups = names.join(sizes, ["lang", "source"], "left").join(langs, "lang", "left")
     v, size = F.coalesce("v", F.lit(0)), F.coalesce("size", F.lit(0))
     zero = F.when(v > 0, probability(F.lit(0), size, v)).otherwise(0)
     groups = cut(groups.select("lang", "source", v.alias("v"), size.alias("size"), "lang_n", zero.alias("z")))
