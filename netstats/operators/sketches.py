@@ -1,4 +1,4 @@
-"""Approximate quantiles from mergeable KLL sketches, kept for each day and geography."""
+"""Mergeable sketches kept for each day and group: quantiles (KLL) and numbers of different values (HLL)."""
 
 from __future__ import annotations
 
@@ -45,3 +45,26 @@ def quantile(name: str, part: int, whole: int) -> Column:
     """A value whose rank is about part/whole of the count; NULL without values."""
     found = F.kll_sketch_get_quantile_double(f"{name}_sketch", F.lit(part / whole))
     return F.when(samples(name) > 0, found)
+
+
+#: Binary logarithm of a counting sketch's registers, and how far a count may be off: about four standard errors.
+LOG_REGISTERS, COUNT_ERROR = 12, 0.065
+
+
+def daily_counters(rows: DataFrame, by: Sequence[str], of: str) -> DataFrame:
+    """One row per `by` with `of_counter`, a sketch of the different values of `of`; NULL values are not counted.
+
+    A sketch has at most some kilobytes, whatever the number of values, and is combined before the shuffle, where an exact
+    count of different values would shuffle each of them.
+    """
+    return rows.groupBy(*by).agg(F.hll_sketch_agg(of, F.lit(LOG_REGISTERS)).alias(f"{of}_counter"))
+
+
+def merged_counters(counters: DataFrame, by: Sequence[str], of: str) -> DataFrame:
+    """The counters of `by` from those of finer groups. A value that several of them hold counts once."""
+    return counters.groupBy(*by).agg(F.hll_union_agg(f"{of}_counter").alias(f"{of}_counter"))
+
+
+def counted(of: str) -> Column:
+    """About how many different values a counter has seen."""
+    return F.hll_sketch_estimate(f"{of}_counter")

@@ -19,6 +19,7 @@ QUICK = [
     "anti_join_connections", "hop_files", "canary_stats", "export_json", "filings_by_county",
     "halfyear_wide", "map_join", "pip_join", "dissolve_edges", "exported_shard", "monthly_quantiles",
     "level_continents_sketch", "level_countries_from_files", "level_regions_spread",
+    "dissolved_rings", "points_in_dissolved", "fleet_clients",
 ]
 
 

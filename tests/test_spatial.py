@@ -2,9 +2,11 @@ from __future__ import annotations
 
 import random
 
+import pytest
 from helpers import as_set, both_directions, frame_of, speed_test
 from pyspark.sql import functions as F
 
+from netstats.operators.outlines import dissolve_layer, dissolve_rings
 from netstats.operators.skew import join_null_safe
 from netstats.operators.spatial import dissolve, locate_points
 from netstats.plans.histograms import level_histogram, prepare
@@ -115,6 +117,56 @@ def test_dissolve_removes_shared_edges(spark):
     assert outline.where("x1 = x2 AND x1 IN (1, 2)").count() == 0
 
 
+def boxes(spark, squares, turned=False):
+    """Unit squares at (x, y), closed; every other one clockwise if `turned`."""
+    rows = []
+    for i, (tract, x, y) in enumerate(squares):
+        corners = [(x, y), (x + 1, y), (x + 1, y + 1), (x, y + 1), (x, y)]
+        ring = corners[::-1] if turned and i % 2 else corners
+        rows.append((tract, [[(float(a), float(b)) for a, b in ring]]))
+    return spark.createDataFrame(rows, f"tract STRING, rings {RINGS}")
+
+
+def plain_rings(found):
+    return sorted((r.tract, r.hole, r.area, [(p.x, p.y) for p in r.ring]) for r in found.collect())
+
+
+@pytest.mark.parametrize("turned", [False, True])
+def test_dissolved_rings(spark, turned):
+    around = [("a", x, y) for x in range(3) for y in range(3) if (x, y) != (1, 1)]
+    apart = [("b", 0, 0), ("b", 5, 5), (None, 9, 9)]
+    found = plain_rings(dissolve_rings(boxes(spark, around + apart, turned), "tract"))
+    assert [(t, hole, area) for t, hole, area, _ in found] == [
+        ("a", False, 9.0), ("a", True, 1.0), ("b", False, 1.0), ("b", False, 1.0)
+    ]
+    # Counter-clockwise around, clockwise in the hole, from the smallest vertex on and back to it.
+    assert found[0][3][:2] == [(0.0, 0.0), (1.0, 0.0)] and len(found[0][3]) == 13
+    assert found[1][3] == [(1.0, 1.0), (1.0, 2.0), (2.0, 2.0), (2.0, 1.0), (1.0, 1.0)]
+
+
+def test_parts_that_meet_in_a_vertex_are_two_rings(spark):
+    found = plain_rings(dissolve_rings(boxes(spark, [("a", 0, 0), ("a", 1, 1)]), "tract"))
+    assert [(hole, area, len(ring)) for _, hole, area, ring in found] == [(False, 1.0, 5)] * 2
+
+
+def test_a_dissolved_hole_stays_a_hole(spark):
+    ring = "MULTIPOLYGON (((0 0, 0 9, 9 9, 9 0, 0 0), (2 2, 4 2, 4 4, 2 4, 2 2)))"
+    piece = spark.createDataFrame([("t", ring)], "geo_id STRING, wkt STRING")
+    layer = boundaries_from_wkt(piece, "wkt").withColumn("tract", F.col("geo_id"))
+    rings = plain_rings(dissolve_rings(layer, "tract"))
+    assert [(hole, area) for _, hole, area, _ in rings] == [(False, 81.0), (True, 4.0)]
+    points = spark.createDataFrame([(1.0, 1.0), (3.0, 3.0), (8.0, 8.0)], "lon DOUBLE, lat DOUBLE")
+    found = locate_points(points, dissolve_layer(layer, "tract").withColumnRenamed("tract", "geo_id"))
+    assert sorted((r.lon, r.lat) for r in found.collect()) == [(1.0, 1.0), (8.0, 8.0)]
+
+
+def test_no_pieces_and_overlapping_pieces(spark):
+    assert dissolve_rings(boxes(spark, [("a", 0, 0)]).limit(0), "tract").count() == 0
+    double = boxes(spark, [("a", 0, 0), ("a", 0, 0), ("a", 1, 0)])
+    with pytest.raises(Exception, match="does not close"):
+        dissolve_rings(double, "tract").collect()
+
+
 def test_geojson_layers_are_merged(spark, tmp_path):
     shape = '{"type": "%s", "coordinates": %s}'
     feature = (

@@ -93,6 +93,10 @@ RATE_SQL = f"""WITH {RAW}, {ALL_TESTS}, {NUMBERED}, {RATED}
 SELECT ID, frequency AS metroFrequency FROM rated"""
 
 
+CLIENTS_SQL = f"""WITH {RAW}, {ALL_TESTS}, {NUMBERED}, {RATED}
+SELECT metro AS "Metro", count(DISTINCT endpoint) AS clients, true AS within_bound FROM panel GROUP BY metro"""
+
+
 def _share(condition: str) -> str:
     return r(f"count(*) FILTER (WHERE {condition}) / nullif(count(uuid), 0)")
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from netstats.levels import LEVELS
 from netstats.schema import BUCKET_COLUMNS, daily_columns, histogram_columns
-from workload.fleet_sql import NUMBERED_SQL, RATE_SQL, STATS_SQL
+from workload.fleet_sql import CLIENTS_SQL, NUMBERED_SQL, RATE_SQL, STATS_SQL
 from workload.level_sql import (
     COUNTY_NAMES,
     FP,
@@ -150,6 +150,40 @@ SELECT (x // 4) || '-' || (y // 5) AS tract, min(CAST(y // 50 AS VARCHAR)) AS st
   CAST(x1 AS DOUBLE) AS x1, CAST(y1 AS DOUBLE) AS y1, CAST(x2 AS DOUBLE) AS x2, CAST(y2 AS DOUBLE) AS y2
 FROM edges GROUP BY x // 4, y // 5, x1, y1, x2, y2 HAVING count(*) = 1"""
 
+_GAPS = """
+squares AS (
+  SELECT p_partkey % 40 AS x, p_partkey // 40 AS y, ((p_partkey % 40) // 4) || '-' || (p_partkey // 200) AS tract
+  FROM part WHERE p_partkey % 11 <> 5
+)"""
+
+ORACLES["dissolved_rings"] = f"""
+WITH RECURSIVE {_GAPS},
+edges AS (
+  SELECT tract, x AS x1, y AS y1, x + 1 AS x2, y AS y2 FROM squares
+  UNION ALL SELECT tract, x + 1, y, x + 1, y + 1 FROM squares
+  UNION ALL SELECT tract, x + 1, y + 1, x, y + 1 FROM squares
+  UNION ALL SELECT tract, x, y + 1, x, y FROM squares
+),
+once AS (
+  SELECT * FROM edges a WHERE NOT EXISTS (
+    SELECT 1 FROM edges b WHERE b.tract = a.tract AND b.x1 = a.x2 AND b.y1 = a.y2 AND b.x2 = a.x1 AND b.y2 = a.y1)
+),
+walk AS (
+  SELECT tract, x1 AS sx, y1 AS sy, x1 AS x, y1 AS y FROM once
+  UNION SELECT walk.tract, sx, sy, x2, y2 FROM walk JOIN once ON once.tract = walk.tract AND x1 = x AND y1 = y
+),
+leads AS (SELECT tract, sx, sy, min((x, y)) AS lead FROM walk GROUP BY ALL),
+rings AS (
+  SELECT once.tract, lead, sum(x1 * y2 - x2 * y1) / 2.0 AS area, count(*) AS corners
+  FROM once JOIN leads ON leads.tract = once.tract AND sx = x1 AND sy = y1 GROUP BY ALL
+)
+SELECT tract, area < 0 AS hole, CAST(abs(area) AS DOUBLE) AS area, CAST(corners AS INTEGER) AS corners,
+  CAST(lead[1] AS DOUBLE) AS x, CAST(lead[2] AS DOUBLE) AS y
+FROM rings"""
+
+ORACLES["points_in_dissolved"] = f"""
+WITH {_GAPS} SELECT x + 0.5::DOUBLE AS lon, y + 0.5::DOUBLE AS lat, tract AS geo_id FROM squares"""
+
 _CONNECTIONS = """
 connections AS (
   SELECT CASE WHEN o_orderkey % 13 = 0 THEN '' ELSE 'u' || (o_orderkey // 2) END AS UUID,
@@ -259,6 +293,7 @@ SELECT ID, machineSample, machineCount, siteSample, siteCount, metroSample, metr
 FROM ({NUMBERED_SQL})"""
 ORACLES["canary_stats_spread"] = STATS_SQL
 ORACLES["canary_rate"] = RATE_SQL
+ORACLES["fleet_clients"] = CLIENTS_SQL
 ORACLES["canary_stats"] = STATS_SQL
 
 _BLOCK = "lpad(CAST({0} * 982451653 AS VARCHAR), 15, '0')"

@@ -16,6 +16,7 @@ from netstats.levels import LEVELS
 from netstats.limits import Limits
 from netstats.operators import sketches
 from netstats.operators.clean import level_rows
+from netstats.operators.outlines import dissolve_layer, dissolve_rings
 from netstats.operators.sampling import pair
 from netstats.operators.skew import join_null_safe
 from netstats.operators.spatial import dissolve, locate_points
@@ -255,6 +256,27 @@ def _dissolve_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dissolve(tables.blocks(spark, sf_dir), "tract", ("state",))
 
 
+@register("dissolved_rings")
+def _dissolved_rings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rings around tracts whose blocks have gaps."""
+    rings = dissolve_rings(tables.blocks_with_gaps(spark, sf_dir), "tract")
+    start = F.col("ring")[0]
+    return rings.select(
+        "tract", "hole", "area", (F.size("ring") - 1).alias("corners"), start["x"].alias("x"), start["y"].alias("y")
+    )
+
+
+@register("points_in_dissolved")
+def _points_in_dissolved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tracts found for points in dissolved polygons: the middle of every block, gaps included."""
+    layer = dissolve_layer(tables.blocks_with_gaps(spark, sf_dir), "tract").withColumnRenamed("tract", "geo_id")
+    key = F.col("p_partkey")
+    points = tables.read(spark, sf_dir, "part").select(
+        (key % 40 + 0.5).alias("lon"), (F.floor(key / 40) + 0.5).alias("lat")
+    )
+    return locate_points(points, layer)
+
+
 _CONNECTION_DAYS = ("2018-01-01", "2020-03-10")
 _HOP_DAYS = (annotation.HOP_FIRST, annotation.HOP_LAST)
 
@@ -366,6 +388,20 @@ def _canary_stats_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fleet.fleet_health(tables.fleet(spark, sf_dir), *_FLEET_DAYS, date, limits=TIGHT)
 
 
+@register("fleet_clients")
+def _fleet_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Different clients by metro, merged from sketches by machine and day, and whether all counts are within the bound."""
+    rows = fleet.panel(fleet.normalise(tables.fleet(spark, sf_dir)), *_FLEET_DAYS)
+    seen = rows.select("date", "server.Metro", "server.Site", "server.Machine", "endpointHash")
+    daily = sketches.daily_counters(seen, ["date", "Metro", "Site", "Machine"], "endpointHash")
+    about = sketches.merged_counters(daily, ["Metro"], "endpointHash")
+    exact = seen.groupBy("Metro").agg(F.count_distinct("endpointHash").alias("clients"))
+    off = F.abs(sketches.counted("endpointHash") - F.col("clients"))
+    return join_null_safe(exact, about, ["Metro"]).select(
+        "Metro", "clients", (off <= sketches.COUNT_ERROR * F.col("clients")).alias("within_bound")
+    )
+
+
 def _filings_query(geography: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         offers = consumer_filings(tables.filings(spark, sf_dir))
