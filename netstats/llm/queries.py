@@ -41,7 +41,7 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = without_repeated_runs(_read(spark, sf_dir, "documents"), min_lines=3)
+    kept = without_repeated_runs(_read(spark, sf_dir, "documents"), min_lines=3, min_words=50)
     return kept.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
@@ -99,16 +99,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES = {
-    "op4_lines": """
+    "op4_lines": r"""
         WITH d AS (
             SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents WHERE text <> ''),
         w AS (
-            SELECT doc_id, i, array_to_string(lines[i : i + 2], chr(10)) AS run
-            FROM d, unnest(range(1, len(lines) - 1)) AS u(i)),
+            SELECT doc_id, i, k, array_to_string(lines[i : i + k - 1], chr(10)) AS run
+            FROM d, (VALUES (1), (2), (3)) AS s(k), unnest(range(1, len(lines) - k + 2)) AS u(i)),
         later AS (
-            SELECT doc_id, i FROM w QUALIFY row_number() OVER (PARTITION BY run ORDER BY doc_id, i) > 1),
+            SELECT doc_id, i, k FROM w WHERE k = 3 OR len(regexp_extract_all(run, '[^\x20\x09-\x0D]+')) >= 50
+            QUALIFY row_number() OVER (PARTITION BY k, run ORDER BY doc_id, i) > 1),
         gone AS (
-            SELECT DISTINCT doc_id, i + o AS i FROM later, (VALUES (0), (1), (2)) AS v(o)),
+            SELECT DISTINCT doc_id, i + o AS i FROM later, (VALUES (0), (1), (2)) AS v(o) WHERE o < k),
         l AS (
             SELECT doc_id, i, lines[i] AS line FROM d, unnest(range(1, len(lines) + 1)) AS u(i)),
         k AS (

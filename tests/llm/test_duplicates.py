@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 from collections import Counter
 
 import duckdb
@@ -142,16 +143,19 @@ def test_suffix_automaton_finds_windows_with_two_places():
     assert automaton.repeated(["never", "a", "seen"], 1) == [1]
 
 
-def plain_lines(rows, least):
+def plain_lines(rows, least, words=None):
     """Rows equal in id and text are one document; ids are unique otherwise."""
     seen, gone = set(), {}
     for i, t in sorted(set(rows), key=lambda r: (r[0] is None, r[0] or 0, r[1] or "")):
         found = t.split("\n") if t else []
-        for a in range(len(found) - least + 1):
-            run = tuple(found[a : a + least])
-            if run in seen:
-                gone.setdefault((i, t), set()).update(range(a, a + least))
-            seen.add(run)
+        for n in range(1, least + 1):
+            for a in range(len(found) - n + 1):
+                run = tuple(found[a : a + n])
+                if n < least and (words is None or len(re.findall(lines.WORD, "\n".join(run))) < words):
+                    continue
+                if run in seen:
+                    gone.setdefault((i, t), set()).update(range(a, a + n))
+                seen.add(run)
     out = []
     for i, t in rows:
         found, less = (t.split("\n") if t else []), gone.get((i, t), set())
@@ -159,12 +163,26 @@ def plain_lines(rows, least):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize(("least", "clashing"), [(1, False), (2, True), (3, False), (5, False)])
-def test_repeated_lines(spark, least, clashing):
+@pytest.mark.parametrize(
+    ("least", "words", "clashing"),
+    [(1, None, False), (2, None, True), (3, None, False), (5, None, False), (3, 8, True), (5, 4, False)],
+)
+def test_repeated_lines(spark, least, words, clashing):
     docs = documents(spark, clashing=clashing).where("doc_id IS NOT NULL OR text LIKE 'alone%' OR text IS NULL")
     given = [(r.doc_id, r.text) for r in docs.collect()]
-    found = lines.without_repeated_runs(docs, least)
-    assert rows_of(found, "doc_id", "n_lines", "n_removed", "text") == plain_lines(given, least)
+    found = lines.without_repeated_runs(docs, least, words)
+    assert rows_of(found, "doc_id", "n_lines", "n_removed", "text") == plain_lines(given, least, words)
+
+
+def test_short_runs_of_many_words(spark):
+    passage, half = " ".join(f"p{i}" for i in range(60)), [" ".join(f"h{i}" for i in range(a, a + 30)) for a in (0, 30)]
+    texts = [passage, f"own line\n{passage}\nshort", "short", "\n".join(half), "\n".join(["x", *half, half[0]]), passage + "!"]
+    rows = list(enumerate(texts))
+    found = lines.without_repeated_runs(spark.createDataFrame(rows, "doc_id BIGINT, text STRING"), 3, 50)
+    assert rows_of(found, "doc_id", "n_lines", "n_removed", "text") == plain_lines(rows, 3, 50)
+    assert {r.doc_id: r.text for r in found.collect()} == {
+        0: passage, 1: "own line\nshort", 2: "short", 3: texts[3], 4: f"x\n{half[0]}", 5: texts[5]
+    }
 
 
 def test_no_rows(spark):
