@@ -22,7 +22,10 @@ SMOOTHING = 1.0
 BLOCK = 1 << 20
 #: Weights are those of a text of so many n-grams, whatever its length, so that long texts do not outweigh short ones.
 LENGTH = 256
-#: A text counts as explained by the target model down to the log weight that all but this share of the sample reach,
+#: A text is as target-like as its least target-like stretch of so many n-grams (about a word), too: a few words that target
+#: text never has would vanish in the mean. Logs of a stretch count so much more than those of LENGTH n-grams.
+STRETCH, STRETCH_WEIGHT = 6, 4.0
+#: A text counts as explained by the target model down to the log weights that all but this share of the sample reach,
 #: less so much for an n-gram on average.
 STRAY, SLACK = 0.001, 0.05
 #: Bins of a pass that looks for the k-th largest value.
@@ -78,20 +81,32 @@ def log_ratio(raw: np.ndarray, target: np.ndarray) -> np.ndarray:
 
 
 def log_weights(docs: DataFrame, ratio: np.ndarray, also: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, the columns `also`, and log_weight, LENGTH times the mean `ratio` of the n-grams of the whole text; 0 where there are none."""
+    """doc_id, the columns `also`, log_weight and lowest for every row of `docs`.
+
+    log_weight is LENGTH times the mean `ratio` of the n-grams of the whole text; lowest is the least sum of `ratio` over
+    STRETCH n-grams in a row, or over all if there are fewer. Both are 0 where there are none.
+    """
     table = ratio.astype(np.float64)
 
-    def weight(text: str | None) -> float:
-        parts = [(table[found].sum(), len(found)) for found in grams(text or "")]
-        return LENGTH * float(sum(x for x, _ in parts)) / max(1, sum(n for _, n in parts))
+    def weights(text: str | None) -> tuple[float, float]:
+        total, n, lowest, tail = 0.0, 0, np.inf, np.zeros(0)
+        for found in grams(text or ""):
+            values = table[found]
+            total, n = total + float(values.sum()), n + len(values)
+            tail = np.concatenate([tail, values])
+            if len(tail) >= STRETCH:
+                lowest = min(lowest, float(sum(tail[i : len(tail) - STRETCH + 1 + i] for i in range(STRETCH)).min()))
+            tail = tail[-(STRETCH - 1) :]
+        return LENGTH * total / max(1, n), total if n < STRETCH else lowest
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces_of(batches):
-            found = [weight(x) for x in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(found, pa.float64())], ["doc_id", *also, "log_weight"])
+            found = np.array([weights(x) for x in batch.column(0).to_pylist()], np.float64).reshape(-1, 2)
+            logs = [pa.array(found[:, i]) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], *logs], ["doc_id", *also, "log_weight", "lowest"])
 
     kinds = [T.StructField(c, docs.schema[c].dataType) for c in ("doc_id", *also)]
-    schema = T.StructType([*kinds, T.StructField("log_weight", T.DoubleType())])
+    schema = T.StructType([*kinds, *[T.StructField(c, T.DoubleType()) for c in ("log_weight", "lowest")]])
     return docs.select("text", "doc_id", *also).mapInArrow(run, schema)
 
 
@@ -133,22 +148,26 @@ def good_sample(labels: DataFrame) -> DataFrame:
 def resample(
     docs: DataFrame, labels: DataFrame, k: int | None = None, seed: int = 7, also: tuple[str, ...] = ()
 ) -> DataFrame:
-    """doc_id, the columns `also`, log_weight, score and kept for every row of `docs`.
+    """doc_id, the columns `also`, log_weight, lowest, score and kept for every row of `docs`.
 
     The raw model is fitted on all of `docs`, the target model on the bounded sample of good ones. log_weight is the log
-    of how much likelier a text of LENGTH n-grams like those of the document is as target text than as raw text. score
-    adds Gumbel noise to it, and the `k` documents with the largest scores are kept: a sample without replacement
-    in proportion to the weights. By default k is the number of documents with about the log_weight of the target sample
-    or more (see STRAY), so that all but borderline cases are decided by the models. Documents that tie with the
-    k-th are kept too, so repeated rows stay together. Null and empty texts have log_weight 0. Without good labels all
+    of how much likelier a text of LENGTH n-grams like those of the document is as target text than as raw text, lowest that
+    of its least target-like stretch. Both are measured from what all but STRAY of the target sample reach; score
+    adds Gumbel noise to the smaller, and the `k` documents with the largest scores are kept: a sample without replacement
+    in proportion to the weights. By default k is the number of documents that are about as target-like as that in
+    both, so that all but borderline cases are decided by the models. Documents that tie with the
+    k-th are kept too, so repeated rows stay together. Null and empty texts have logs of 0. Without good labels all
     have, and all are kept.
     """
     sample = cut(good_sample(labels))
     raw, target = counts(docs, sample)
     ratio = log_ratio(raw, target) if target.any() else np.zeros(BUCKETS)
-    scored = cut(log_weights(docs, ratio, also).withColumn("score", F.col("log_weight") + gumbel(F.col("doc_id"), seed)))
+    weighed = cut(log_weights(docs, ratio, also))
+    marks = [F.percentile(c, F.lit(STRAY)) for c in ("log_weight", "lowest")]
+    usual, usual_lowest = (x or 0.0 for x in weighed.join(F.broadcast(sample), "doc_id").agg(*marks).first())
+    margin = F.least(F.col("log_weight") - usual, (F.col("lowest") - usual_lowest) * STRETCH_WEIGHT)
+    scored = weighed.withColumn("score", margin + gumbel(F.col("doc_id"), seed))
     if k is None:
-        reached = scored.join(F.broadcast(sample), "doc_id").agg(F.percentile("log_weight", F.lit(STRAY))).first()[0] or 0.0
-        k = scored.where(F.col("log_weight") >= reached - SLACK * LENGTH).count()
+        k = weighed.where(margin >= -SLACK * LENGTH).count()
     least = kth_largest(scored, "score", min(k, scored.count()))
     return scored.withColumn("kept", F.lit(False) if least is None else F.col("score") >= least)

@@ -145,6 +145,17 @@ def test_quality_keeps_what_looks_like_the_target(spark):
     assert quality.resample(docs.limit(0), labels).count() == 0
 
 
+def test_quality_rejects_a_few_words_that_target_text_never_has(spark):
+    words = [f"{a}{b}{c}" for a in ("lor", "mab", "ten") for b in ("ip", "ol", "ar") for c in ("sum", "dem", "nit")]
+    rng = random.Random(5)
+    texts = [" ".join(rng.choices(words, k=300)) for _ in range(300)]
+    rows = [(i, f"{t[:900]} vilewretch {t[900:]}" if i >= 240 else t) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, int(i >= 240)) for i in range(100, 300)], "doc_id long, quality int, toxic int")
+    found = quality.resample(docs, labels).collect()
+    assert [r.doc_id for r in sorted(found) if r.kept] == list(range(240))
+
+
 def test_log_weights_equal_brute_force(spark, monkeypatch):
     docs = documents(spark)
     monkeypatch.setattr(quality, "BLOCK", 1000)
@@ -161,9 +172,10 @@ def test_log_weights_equal_brute_force(spark, monkeypatch):
         np.add.at(expected, found, 1)
         if r.doc_id in (20, 30):
             np.add.at(some, found, 1)
-        weights.append((r.doc_id, round(quality.LENGTH * float(ratio[found].sum()) / max(1, len(found)), 6)))
+        least = min((sum(ratio[found[i : i + 6]]) for i in range(len(found) - 5)), default=sum(ratio[found]))
+        weights.append((r.doc_id, round(quality.LENGTH * float(ratio[found].sum()) / max(1, len(found)), 6), round(float(least), 6)))
     assert (raw == expected).all() and (target == some).all()
-    got = [(r.doc_id, round(r.log_weight, 6)) for r in quality.log_weights(docs, ratio).collect()]
+    got = [(r.doc_id, round(r.log_weight, 6), round(r.lowest, 6)) for r in quality.log_weights(docs, ratio).collect()]
     assert sorted(got, key=repr) == sorted(weights, key=repr)
 
 
