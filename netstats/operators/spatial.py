@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from netstats.functions.geometry import edges, within
 from netstats.operators.skew import join_null_safe
 
+#: What finds the polygons around points: (points, boundaries) to (lon, lat, geo_id).
+Locate = Callable[[DataFrame, DataFrame], DataFrame]
+
 # Grids whose cells are 2^-8 to 2^8 degrees wide. A polygon lies in the finest one
 # whose cells are no smaller than the polygon, so it touches at most four cells.
 GRIDS = list(range(-8, 9, 2))
@@ -15,7 +20,8 @@ GRIDS = list(range(-8, 9, 2))
 EDGES_PER_STRIP, MOST_STRIPS = 16, 256
 
 
-def _cell(coordinate: Column, grid: Column) -> Column:
+def cell(coordinate: Column, grid: Column) -> Column:
+    """Number of the cell that holds a coordinate."""
     return F.floor(coordinate / F.pow(F.lit(2.0), grid)).cast("bigint")
 
 
@@ -62,8 +68,8 @@ def locate_points(points: DataFrame, boundaries: DataFrame) -> DataFrame:
     grid = F.col("grid")
     cells = (
         shapes.select("geo_id", *box, "grid")
-        .withColumn("col", F.explode(F.sequence(_cell(F.col("x_min"), grid), _cell(F.col("x_max"), grid))))
-        .withColumn("row", F.explode(F.sequence(_cell(F.col("y_min"), grid), _cell(F.col("y_max"), grid))))
+        .withColumn("col", F.explode(F.sequence(cell(F.col("x_min"), grid), cell(F.col("x_max"), grid))))
+        .withColumn("row", F.explode(F.sequence(cell(F.col("y_min"), grid), cell(F.col("y_max"), grid))))
     )
     strips = (
         shapes.select("geo_id", "y_min", "y_max", "strips", F.explode("edges").alias("e"))
@@ -81,8 +87,8 @@ def locate_points(points: DataFrame, boundaries: DataFrame) -> DataFrame:
         .where(F.col("lon").isNotNull() & F.col("lat").isNotNull())
         .distinct()
         .withColumn("grid", F.explode(F.array(*[F.lit(g) for g in GRIDS])))
-        .withColumn("col", _cell(F.col("lon"), grid))
-        .withColumn("row", _cell(F.col("lat"), grid))
+        .withColumn("col", cell(F.col("lon"), grid))
+        .withColumn("row", cell(F.col("lat"), grid))
     )
     near = (
         distinct.join(cells, ["grid", "col", "row"])
@@ -97,14 +103,15 @@ def locate_points(points: DataFrame, boundaries: DataFrame) -> DataFrame:
     )
 
 
-def located(cleaned: DataFrame, boundaries: DataFrame) -> DataFrame:
+def located(cleaned: DataFrame, boundaries: DataFrame, locate: Locate = locate_points) -> DataFrame:
     """(lon, lat, GEOID, names): the polygons around each distinct coordinate of the tests.
 
     Coordinates come from address databases and repeat a great deal, so the exact
     test runs once per distinct point, and one lookup serves all levels of a layer.
+    `locate` may be `locate_on_sphere`.
     """
     names = [c for c in boundaries.columns if c not in ("geo_id", "rings")]
-    found = locate_points(cleaned, boundaries)
+    found = locate(cleaned, boundaries)
     return found.join(boundaries.select("geo_id", *names), "geo_id").withColumnRenamed(
         "geo_id", "GEOID"
     )

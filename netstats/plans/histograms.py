@@ -14,7 +14,7 @@ from netstats.limits import DEFAULT, Limits
 from netstats.operators.clean import clean, level_rows
 from netstats.operators.sampling import draw
 from netstats.operators.skew import hot_groups, profile
-from netstats.operators.spatial import attach_boundary, located
+from netstats.operators.spatial import Locate, attach_boundary, locate_points, located
 from netstats.operators.summary import daily_statistics, histogram
 from netstats.schema import histogram_columns
 
@@ -51,10 +51,12 @@ def prepare(
     return Prepared(rows, hot, found.addresses_per_day > limits.samples_per_group)
 
 
-def layer_lookup(rows: DataFrame, boundaries: Mapping[str, DataFrame], layer: str) -> DataFrame:
+def layer_lookup(
+    rows: DataFrame, boundaries: Mapping[str, DataFrame], layer: str, locate: Locate = locate_points
+) -> DataFrame:
     """The polygons of a layer around each coordinate, with the columns that its levels take as keys."""
     attributes = {a for level in LEVELS.values() if level.boundary == layer for a in level.attributes}
-    return located(rows, boundaries[layer].drop(*attributes))
+    return located(rows, boundaries[layer].drop(*attributes), locate)
 
 
 def draws(

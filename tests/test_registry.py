@@ -17,7 +17,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="tables are no
 QUICK = [
     "level_continents", "level_states_asn", "level_counties", "parse_addresses", "ip_sample",
     "anti_join_connections", "hop_files", "canary_stats", "export_json", "filings_by_county",
-    "halfyear_wide", "map_join", "pip_join", "dissolve_edges", "exported_shard", "monthly_quantiles",
+    "halfyear_wide", "map_join", "pip_join", "pip_sphere", "dissolve_edges", "exported_shard", "monthly_quantiles",
     "level_continents_sketch", "level_countries_from_files", "level_regions_spread",
     "dissolved_rings", "points_in_dissolved", "fleet_clients",
 ]

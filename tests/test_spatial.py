@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import random
 
 import pytest
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from netstats.operators.outlines import dissolve_layer, dissolve_rings
 from netstats.operators.skew import join_null_safe
 from netstats.operators.spatial import dissolve, locate_points
+from netstats.operators.sphere import locate_on_sphere
 from netstats.plans.histograms import level_histogram, prepare
 from netstats.schema import RINGS
 from netstats.sources.geography import boundaries_from_wkt, read_geojson, tract_ids
@@ -184,3 +186,47 @@ def test_geojson_layers_are_merged(spark, tmp_path):
     )
     found = {r.fips: len(r.rings) for r in tract_ids(layer).collect()}
     assert found == {"01001000200": 1, "02001000200": 2}
+
+
+def on_sphere(spark, wkt, points):
+    layer = boundaries_from_wkt(spark.createDataFrame([(7, wkt)], "geo_id INT, shape STRING"), "shape")
+    frame = spark.createDataFrame(points, "lon DOUBLE, lat DOUBLE")
+    return {(r.lon, r.lat) for r in locate_on_sphere(frame, layer).collect()}
+
+
+@pytest.mark.parametrize(
+    ("wkt", "inside", "outside"),
+    [
+        # An edge along a parallel bulges towards the pole: the middle of 60 degrees at 50 north is at 54.0.
+        ("POLYGON ((0 50, 60 50, 60 40, 0 40))", [(30.0, 53.9), (390.0, 53.9)], [(30.0, 54.1), (30.0, 43.0), (30.0, 91.0)]),
+        # Across the antimeridian, in either way of writing it.
+        ("POLYGON ((170 -5, -170 -5, -170 5, 170 5))", [(179.0, 0.0), (-179.0, 0.0), (180.0, 1.0), (-180.0, 1.0)], [(0.0, 0.0), (169.0, 0.0)]),
+        ("POLYGON ((170 -5, 190 -5, 190 5, 170 5))", [(179.0, 0.0), (-179.0, 0.0), (181.0, 0.0)], [(0.0, 0.0), (-169.0, 0.0)]),
+        # Around the poles, with the ring in either direction; a ring with the pole as a vertex.
+        ("POLYGON ((0 60, 90 60, 180 60, -90 60))", [(10.0, 90.0), (0.0, 61.0), (45.0, 80.0)], [(45.0, 60.0), (0.0, 0.0), (0.0, -90.0)]),
+        ("POLYGON ((0 -60, -90 -60, 180 -60, 90 -60))", [(10.0, -90.0), (0.0, -61.0)], [(45.0, -60.0), (0.0, 0.0), (0.0, 90.0)]),
+        ("POLYGON ((0 90, 0 0, 90 0))", [(45.0, 45.0), (1.0, 89.0)], [(45.0, -1.0), (-1.0, 89.0), (91.0, 10.0)]),
+        # A hole around the pole in a cap around it; points on vertices and edges.
+        ("POLYGON ((0 60, 90 60, 180 60, -90 60), (0 80, 90 80, 180 80, -90 80))", [(0.0, 70.0)], [(0.0, 89.0), (0.0, 90.0), (0.0, 60.0)]),
+        ("POLYGON ((0 0, 10 0, 10 10, 0 10))", [(5.0, 5.0)], [(0.0, 0.0), (5.0, 0.0), (0.0, 5.0), (10.0, 10.0)]),
+    ],
+)
+def test_polygons_on_the_sphere(spark, wkt, inside, outside):
+    assert on_sphere(spark, wkt, inside + outside) == set(inside)
+
+
+def test_small_polygons_are_the_same_on_the_sphere(spark):
+    """Many edges, hence strips; points far from the edges by more than an arc of this length bulges."""
+    rng = random.Random(3)
+    for cx in (-30.0, 178.5, -180.0):
+        ring = [(cx + math.cos(t / 200 * math.tau) * (2 + t % 2), math.sin(t / 200 * math.tau) * (2 + t % 2)) for t in range(200)]
+        wkt = "POLYGON ((" + ", ".join(f"{x!r} {y!r}" for x, y in ring) + "))"
+        points = [(cx + rng.uniform(-4, 4), rng.uniform(-4, 4)) for _ in range(300)]
+        expected = {(x, y) for x, y in points if crossings(x, y, [ring]) % 2}
+        # Arcs of 0.1 degrees near the equator leave the straight line by far less than these points do.
+        assert len(on_sphere(spark, wkt, points) ^ expected) == 0
+
+
+def test_no_points_or_polygons_on_the_sphere(spark):
+    assert on_sphere(spark, "POLYGON EMPTY", [(0.0, 0.0)]) == set()
+    assert on_sphere(spark, "POLYGON ((0 0, 1 0, 1 1))", [(None, 0.5), (0.5, None)]) == set()

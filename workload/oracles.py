@@ -136,6 +136,42 @@ pairs AS (
 )
 SELECT c_custkey, geo_id FROM pairs WHERE d < 1 AND d > 0.25"""
 
+# The latitude at which the great circle through both ends of an edge meets the point's meridian.
+ORACLES["pip_sphere"] = """
+WITH points AS (
+  SELECT c_custkey, c_custkey * 7919 % 36000 / 100.0::DOUBLE - 180 + 0.005::DOUBLE AS lon,
+    c_custkey * 104729 % 18000 / 100.0::DOUBLE - 90 + 0.005::DOUBLE AS lat
+  FROM customer
+),
+turn AS (SELECT * FROM (VALUES (1, 0, 0, 1), (0, 1, -1, 0), (-1, 0, 0, -1), (0, -1, 1, 0)) t(ax, ay, tx, ty)),
+scales AS (SELECT * FROM (VALUES (1.0::DOUBLE), (0.25::DOUBLE)) s(scale)),
+centres AS (SELECT s_suppkey, s_suppkey * 37 % 360 - 180 AS cx, s_suppkey * 17 % 150 - 75 AS cy FROM supplier),
+quarters AS (SELECT * FROM (VALUES (0), (90), (180), (270)) q(quarter)),
+edges AS (
+  SELECT 'D' || s_suppkey AS geo_id, FALSE AS north,
+    cx + ax * 23.137::DOUBLE * scale AS x1, radians(cy + ay * 9.091::DOUBLE * scale) AS y1,
+    cx + tx * 23.137::DOUBLE * scale AS x2, radians(cy + ty * 9.091::DOUBLE * scale) AS y2
+  FROM centres, turn, scales
+  UNION ALL
+  SELECT 'P' || n_nationkey, n_nationkey % 2 = 0,
+    n_nationkey * 7 - 180 + quarter,
+    radians(CASE WHEN n_nationkey % 2 = 0 THEN n_nationkey + 45.25::DOUBLE ELSE -45.25::DOUBLE - n_nationkey END),
+    n_nationkey * 7 - 90 + quarter,
+    radians(CASE WHEN n_nationkey % 2 = 0 THEN n_nationkey + 45.25::DOUBLE ELSE -45.25::DOUBLE - n_nationkey END)
+  FROM nation, quarters
+),
+seen AS (
+  SELECT c_custkey, lat, geo_id, north, y1, y2,
+    x1 - lon - 360 * floor((x1 - lon + 180) / 360) AS d1, x2 - lon - 360 * floor((x2 - lon + 180) / 360) AS d2
+  FROM points, edges
+),
+counted AS (
+  SELECT c_custkey, geo_id, north, count(*) FILTER (WHERE (d1 > 0) <> (d2 > 0) AND abs(d1 - d2) < 180
+    AND degrees(atan((tan(y1) * sin(radians(d2)) - tan(y2) * sin(radians(d1))) / sin(radians(d2 - d1)))) > lat) AS n
+  FROM seen GROUP BY ALL
+)
+SELECT c_custkey, geo_id FROM counted WHERE (n % 2 = 1) <> north"""
+
 ORACLES["dissolve_edges"] = """
 WITH squares AS (
   SELECT p_partkey % 40 AS x, p_partkey // 40 AS y FROM part

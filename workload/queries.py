@@ -20,6 +20,7 @@ from netstats.operators.outlines import dissolve_layer, dissolve_rings
 from netstats.operators.sampling import pair
 from netstats.operators.skew import join_null_safe
 from netstats.operators.spatial import dissolve, locate_points
+from netstats.operators.sphere import locate_on_sphere
 from netstats.operators.summary import daily_statistics
 from netstats.plans import annotation, export, fleet, jobs, mapdata
 from netstats.plans.histograms import Prepared, draws, level_histogram, prepare
@@ -251,6 +252,13 @@ def _pip_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join_null_safe(points, found, ["lon", "lat"]).select("c_custkey", "geo_id")
 
 
+@register("pip_sphere")
+def _pip_sphere(spark: SparkSession, sf_dir: str) -> DataFrame:
+    points = tables.points(spark, sf_dir)
+    found = locate_on_sphere(points, tables.globe(spark, sf_dir))
+    return join_null_safe(points, found, ["lon", "lat"]).select("c_custkey", "geo_id")
+
+
 @register("dissolve_edges")
 def _dissolve_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dissolve(tables.blocks(spark, sf_dir), "tract", ("state",))

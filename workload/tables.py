@@ -495,6 +495,28 @@ def diamonds(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def globe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wide rhombs with a hole, also across the antimeridian, one per supplier; and a cap around a pole per nation."""
+    key = F.col("s_suppkey")
+    cx, cy = key * 37 % 360 - 180, key * 17 % 150 - 75
+
+    def ring(scale: float) -> Column:
+        a, b = F.lit(23.137 * scale), F.lit(9.091 * scale)
+        corners = [(cx + a, cy + 0.0), (cx + 0.0, cy + b), (cx - a, cy + 0.0), (cx + 0.0, cy - b)]
+        return F.array(*[F.struct(x.alias("x"), y.alias("y")) for x, y in corners])
+
+    rhombs = read(spark, sf_dir, "supplier").select(
+        _text("D", key).alias("geo_id"), F.array(ring(1.0), ring(0.25)).alias("rings")
+    )
+    nation = F.col("n_nationkey")
+    lat = F.when(nation % 2 == 0, nation + 45.25).otherwise(-45.25 - nation)
+    corners = [F.struct((nation * 7 - 180 + 90.0 * i).alias("x"), lat.alias("y")) for i in range(4)]
+    caps = read(spark, sf_dir, "nation").select(
+        _text("P", nation).alias("geo_id"), F.array(F.array(*corners)).alias("rings")
+    )
+    return rhombs.union(caps)
+
+
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One point per customer."""
     key = F.col("c_custkey")
