@@ -7,9 +7,11 @@ import pytest
 from helpers import as_set, both_directions, frame_of, speed_test
 from pyspark.sql import functions as F
 
+from netstats.levels import COUNTY_ATTRIBUTES
 from netstats.operators.outlines import dissolve_layer, dissolve_rings
+from netstats.operators.sampling import draw
 from netstats.operators.skew import join_null_safe
-from netstats.operators.spatial import dissolve, locate_points
+from netstats.operators.spatial import alike, dissolve, locate_points
 from netstats.operators.sphere import locate_on_sphere
 from netstats.plans.histograms import level_histogram, prepare
 from netstats.schema import RINGS
@@ -230,3 +232,33 @@ def test_small_polygons_are_the_same_on_the_sphere(spark):
 def test_no_points_or_polygons_on_the_sphere(spark):
     assert on_sphere(spark, "POLYGON EMPTY", [(0.0, 0.0)]) == set()
     assert on_sphere(spark, "POLYGON ((0 0, 1 0, 1 1))", [(None, 0.5), (0.5, None)]) == set()
+
+
+def test_areas_around_the_same_coordinates_are_one(spark):
+    """Two shapes with the same points, one with other points as many, and a repeated row."""
+    rows = [(x, 0.0, g, n) for g, n in (("a", "A"), ("b", "B")) for x in (1.0, 2.0)]
+    rows += [(1.0, 0.0, "c", "C"), (3.0, 0.0, "c", "C"), (1.0, 0.0, "d", "D"), (1.0, 0.0, "d", "D"), (1.0, 0.0, "e", "E")]
+    lookup = spark.createDataFrame(rows, "lon DOUBLE, lat DOUBLE, GEOID STRING, name STRING")
+    around, members = alike(lookup)
+    area = {r.GEOID: r.area.GEOID for r in members.collect()}
+    assert area == {"a": "a", "b": "a", "c": "c", "d": "d", "e": "e"}
+    assert around.count() == 2 + 2 + 2 + 1
+    given = around.join(members, "area").select("lon", "lat", "GEOID", "name")
+    assert as_set(given) == sorted(rows, key=repr)
+
+
+def test_tests_meet_polygons_around_the_same_points_once(spark, monkeypatch):
+    """Nested polygons around one point: their histograms are alike, and made once."""
+    layer = spark.createDataFrame([(f"{i:05}", f"POLYGON ((0 0, {i} 0, {i} {i}, 0 {i}))") for i in range(1, 9)], "geo_id STRING, wkt STRING")
+    layer = boundaries_from_wkt(layer, "wkt").withColumns({c: F.lit(c) for c in COUNTY_ATTRIBUTES})
+    seen = []
+
+    def counted(rows, *rest):
+        seen.append(rows.count())
+        return draw(rows, *rest)
+
+    monkeypatch.setattr("netstats.plans.histograms.draw", counted)
+    tests = frame_of(spark, both_directions([speed_test(i, i + 1.0, ip=f"10.0.0.{i}") for i in range(3)]))
+    table = level_histogram("counties", prepare(tests), {"counties": layer})
+    assert {(r.GEOID, r.dl_samples_day, r.dl_samples_bucket) for r in table.where("bucket_min = 0").collect()} == {(f"{i:05}", 3, 1) for i in range(1, 9)}
+    assert seen == [6]
