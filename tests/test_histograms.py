@@ -11,7 +11,7 @@ from netstats.operators.quantiles import Quantile, selected_quantiles
 from netstats.operators.sampling import FIRST, SECOND, draw, pair
 from netstats.operators.skew import hot_groups
 from netstats.operators.summary import daily_statistics, histogram
-from netstats.plans.histograms import level_histogram, prepare
+from netstats.plans.histograms import draws, level_histogram, prepare
 from netstats.schema import histogram_columns
 from netstats.sources.geography import boundaries_from_wkt
 
@@ -247,3 +247,15 @@ def test_fifteen_levels():
         "histogram_daily_stats.json"
     )
     assert LEVELS["states_asn"].shard_by == ("GEOID", 4000)
+
+
+def test_tasks_grow_with_the_rows(spark):
+    """A known number of rows gives as many tasks as it asks for, for the draws and for the statistics."""
+    tests = frame_of(spark, both_directions([speed_test(i, i + 1.0, ip=f"10.0.0.{i}") for i in range(4)]))
+    prepared = prepare(tests, rows_at_most=100, limits=Limits(rows_per_task=10))
+    assert prepared.parts == 10 and prepare(tests).parts is None
+    drawn = draws("continents", prepared)
+    assert "continent_code" in drawn.columns and drawn.rdd.getNumPartitions() == 10
+    dealt = level_histogram("continents", prepared)
+    assert dealt.rdd.getNumPartitions() == 10
+    assert as_set(dealt) == as_set(level_histogram("continents", prepare(tests)))
