@@ -60,25 +60,16 @@ def above_equator(ring: Column) -> Column:
     return F.aggregate(ring, F.lit(0.0), lambda total, e: total + area(e))
 
 
-def within_arcs(lon: Column, vector: list[Column], arcs: Column, north: Column) -> Column:
-    """Whether a point lies strictly inside, by the parity of arcs on its meridian between it and the north pole.
-
-    `arcs` needs only those that reach the point's longitude; `north` tells whether the north pole is inside. A point
-    on an arc, as far as doubles show it, is not inside.
-    """
-
-    def side(e: Column) -> Column:
-        return dot(_fields(e, "nx ny nz"), vector)
-
-    def crosses(e: Column) -> Column:
-        d1, d2 = wrapped(e["x1"] - lon), wrapped(e["x2"] - lon)
-        meets = ((d1 > 0) != (d2 > 0)) & (F.abs(d1 - d2) < 180)
-        return meets & F.when(d2 > d1, side(e) < 0).otherwise(side(e) > 0)
-
-    def touches(e: Column) -> Column:
-        a, b = dot(_fields(e, "ax ay az"), vector), dot(_fields(e, "bx by bz"), vector)
-        between = F.least(a, b) >= e["ab"] - ROUNDING
-        return (F.abs(side(e)) <= ROUNDING) & between
-
-    odd = F.size(F.filter(arcs, crosses)) % 2 == 1
-    return (odd != north) & ~F.exists(arcs, touches)
+def arc_crosses(lon: Column, vector: list[Column], e: Column) -> Column:
+    """Whether an arc passes between a point and the north pole, on the point's meridian."""
+    side = dot(_fields(e, "nx ny nz"), vector)
+    d1, d2 = wrapped(e["x1"] - lon), wrapped(e["x2"] - lon)
+    meets = ((d1 > 0) != (d2 > 0)) & (F.abs(d1 - d2) < 180)
+    return meets & F.when(d2 > d1, side < 0).otherwise(side > 0)
+
+
+def arc_touches(vector: list[Column], e: Column) -> Column:
+    """Whether a point lies on an arc, as far as doubles show it."""
+    a, b = dot(_fields(e, "ax ay az"), vector), dot(_fields(e, "bx by bz"), vector)
+    side = dot(_fields(e, "nx ny nz"), vector)
+    return (F.abs(side) <= ROUNDING) & (F.least(a, b) >= e["ab"] - ROUNDING)

@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from netstats.functions.geometry import edges
-from netstats.functions.sphere import above_equator, arc, reach, turns, unit_vector, within_arcs, wrapped
-from netstats.operators.spatial import EDGES_PER_STRIP, GRIDS, MOST_STRIPS, cell
+from netstats.functions.sphere import above_equator, arc, arc_crosses, arc_touches, reach, turns, unit_vector, wrapped
+from netstats.operators.spatial import EDGES_PER_STRIP, GRIDS, MOST_STRIPS, by_cell, cell, grid_of, inside
 
 # Degrees by which boxes and strips are widened against rounding.
 HAIR = 1e-9
@@ -41,11 +41,10 @@ def _shapes(boundaries: DataFrame) -> DataFrame:
         F.when(F.col("north"), F.lit(90.0)).otherwise(F.least(high + HAIR, F.lit(90.0))).alias("y_max"),
     )
     width = F.greatest(F.col("east") - F.col("west"), F.col("y_max") - F.col("y_min"))
-    even = F.ceil(F.log2(width) / 2) * 2
     strips = F.floor(F.size("arcs") / EDGES_PER_STRIP)
     return boxed.select(
         "*",
-        F.least(F.greatest(even, F.lit(GRIDS[0])), F.lit(GRIDS[-1])).cast("int").alias("grid"),
+        grid_of(width).alias("grid"),
         F.least(F.greatest(strips, F.lit(1)), F.lit(MOST_STRIPS)).cast("int").alias("strips"),
     )
 
@@ -94,7 +93,7 @@ def locate_on_sphere(points: DataFrame, boundaries: DataFrame) -> DataFrame:
         shapes.withColumn("e", F.explode("arcs"))
         .select("geo_id", F.explode(_arc_strips("e")).alias("strip"), "e")
         .groupBy("geo_id", "strip")
-        .agg(F.collect_list("e").alias("arcs"))
+        .agg(F.collect_list("e").alias("edges"))
     )
     distinct = (
         points.select("lon", "lat")
@@ -106,14 +105,14 @@ def locate_on_sphere(points: DataFrame, boundaries: DataFrame) -> DataFrame:
         .withColumn("row", cell(F.col("lat"), grid))
     )
     near = (
-        distinct.join(cells, ["grid", "col", "row"])
+        by_cell(distinct).join(by_cell(cells), ["grid", "col", "row"])
         .where(F.col("x").between(F.col("x_min"), F.col("x_max")))
         .where(F.col("lat").between(F.col("y_min"), F.col("y_max")))
-        .select("lon", "lat", "geo_id", "north", _strip(wrapped(F.col("lon") - F.col("x0"))).alias("strip"))
-    )
-    vector = unit_vector(F.col("lon"), F.col("lat"))
-    return (
-        near.join(strips, ["geo_id", "strip"])
-        .where(within_arcs(F.col("lon"), vector, F.col("arcs"), F.col("north")))
-        .select("lon", "lat", "geo_id")
-    )
+        .select(
+            "grid", "col", "row", "lon", "lat", "geo_id", "north",
+            _strip(wrapped(F.col("lon") - F.col("x0"))).alias("strip"),
+            *[c.alias(n) for n, c in zip("uvw", unit_vector(F.col("lon"), F.col("lat")), strict=True)],
+        )
+    )
+    vector, e = [F.col(c) for c in "uvw"], F.col("e")
+    return inside(near, strips, arc_crosses(F.col("lon"), vector, e), arc_touches(vector, e), odd=~F.col("north"))

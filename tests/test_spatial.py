@@ -262,3 +262,17 @@ def test_tests_meet_polygons_around_the_same_points_once(spark, monkeypatch):
     table = level_histogram("counties", prepare(tests), {"counties": layer})
     assert {(r.GEOID, r.dl_samples_day, r.dl_samples_bucket) for r in table.where("bucket_min = 0").collect()} == {(f"{i:05}", 3, 1) for i in range(1, 9)}
     assert seen == [6]
+
+
+@pytest.mark.parametrize("locate", [locate_points, locate_on_sphere])
+def test_few_points_in_many_polygons_are_shared_out(spark, locate):
+    """The pairs are the work, not the bytes of the points: these keep their tasks, and edges are tested as compiled rows."""
+    wkt = F.format_string("POLYGON ((%d 0, %d 0, %d 30, %d 30))", *[F.col("id") % 50 + d for d in (0, 40, 40, 0)])
+    layer = boundaries_from_wkt(spark.range(400).select(F.col("id").alias("geo_id"), wkt.alias("wkt")), "wkt")
+    points = spark.range(300).select((F.col("id") % 90 + 0.5).alias("lon"), (F.col("id") % 29 + 0.5).alias("lat"))
+    found = locate(points, layer)
+    wanted = sum(r.lon > g % 50 and r.lon < g % 50 + 40 for r in points.distinct().collect() for g in range(400))
+    assert found.count() == wanted
+    assert found.rdd.getNumPartitions() == 4
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "filter(edges" not in plan and "exists(edges" not in plan
