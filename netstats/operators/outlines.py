@@ -42,7 +42,8 @@ def oriented(rings: Column) -> Column:
         e = F.get(edges(F.array(ring)), F.lit(0))
         x, y = (e["x1"] + e["x2"]) / 2, (e["y1"] + e["y2"]) / 2
         around = F.filter(rings, lambda other: within(x, y, edges(F.array(other))))
-        outer = F.size(around) % 2 == 0
+        # Most polygons are one ring, which is no hole; no other ring needs to be looked at then.
+        outer = (F.size(rings) == 1) | (F.size(around) % 2 == 0)
         return F.when((twice_area(ring) > 0) == outer, ring).otherwise(F.reverse(ring))
 
     return F.transform(rings, turned)
@@ -50,7 +51,8 @@ def oriented(rings: Column) -> Column:
 
 def _directed_outline(pieces: DataFrame, by: str) -> DataFrame:
     """(by, a, b): edges of one piece only, from a to b, with the inside to their left."""
-    parts = pieces.select(by, F.explode(edges(oriented(F.col("rings")))).alias("e"))
+    # `explode` would work the edges out three times, since Spark first looks whether there are any.
+    parts = pieces.select(by, F.explode_outer(edges(oriented(F.col("rings")))).alias("e")).where("e IS NOT NULL")
     a = F.struct(F.col("e.x1").alias("x"), F.col("e.y1").alias("y"))
     b = F.struct(F.col("e.x2").alias("x"), F.col("e.y2").alias("y"))
     return (
@@ -86,7 +88,8 @@ def _ranked(follows: DataFrame, by: str) -> DataFrame:
     """(by, id, lead, away): the smallest edge of each edge's ring, and how many steps ahead it is.
 
     Pointer doubling: after k rounds an edge knows the smallest of the 2^k edges from it on. When a round changes nothing,
-    these cover whole rings. Rounds are the logarithm of the longest ring; a round is one join by edge.
+    these cover whole rings. Rounds are the logarithm of the longest ring; a round is one join by edge. What Spark
+    knows of the size of checkpointed rows is a guess from the input's files, far too small, so it is told not to broadcast them.
     """
     state = _checkpointed(follows.select(by, "id", "jump", F.col("id").alias("lead"), F.lit(0).cast("bigint").alias("away")))
     step = 1
@@ -96,7 +99,7 @@ def _ranked(follows: DataFrame, by: str) -> DataFrame:
         )
         better = F.col("lead2") < F.col("lead")
         state = _checkpointed(
-            state.join(ahead, [by, "jump"]).select(
+            state.join(ahead.hint("merge"), [by, "jump"]).select(
                 by,
                 "id",
                 F.col("next").alias("jump"),

@@ -8,7 +8,7 @@ from helpers import as_set, both_directions, frame_of, speed_test
 from pyspark.sql import functions as F
 
 from netstats.levels import COUNTY_ATTRIBUTES
-from netstats.operators.outlines import dissolve_layer, dissolve_rings
+from netstats.operators.outlines import _checkpointed, _directed_outline, dissolve_layer, dissolve_rings
 from netstats.operators.sampling import draw
 from netstats.operators.skew import join_null_safe
 from netstats.operators.spatial import alike, dissolve, locate_points
@@ -276,3 +276,20 @@ def test_few_points_in_many_polygons_are_shared_out(spark, locate):
     assert found.rdd.getNumPartitions() == 4
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "filter(edges" not in plan and "exists(edges" not in plan
+
+
+def test_edges_of_pieces_are_worked_out_once(spark):
+    plan = _directed_outline(boxes(spark, [("a", 0, 0)]), "tract")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Generate explode") == 1 and "size(flatten(" not in plan
+
+
+def test_rounds_over_checkpointed_edges_are_not_broadcast(spark, monkeypatch):
+    plans = []
+
+    def kept(rows):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return _checkpointed(rows)
+
+    monkeypatch.setattr("netstats.operators.outlines._checkpointed", kept)
+    assert dissolve_rings(boxes(spark, [("a", 0, 0), ("a", 1, 0), ("b", 3, 3)]), "tract").count() == 2
+    assert len(plans) > 2 and not any("Broadcast" in p for p in plans[1:])
