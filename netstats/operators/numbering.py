@@ -35,8 +35,11 @@ def number(
     ordinary, large = split_hot(rows, hot, coarse)
     slices = F.ceil(F.col("_group_rows") / F.lit(limits.tests_per_group))
     large = large.withColumn("_slice", slice_of(F.col("fp"), slices)).drop("_group_rows")
+    # Sizes of the slices of all groups come from one count, not each from the rows as the groups before left them.
+    fine = [*dict.fromkeys(c for keys in groups.values() for c in keys), size, "_slice"]
+    counts = large.groupBy(*fine).agg(F.count(F.lit(1)).alias("_rows"))
     for name, keys in groups.items():
-        large = _by_slices(large, name, keys, size)
+        large = _by_slices(large, counts, name, keys, size)
     return _by_window(ordinary, groups, size, coarse).unionByName(large.drop("_slice"))
 
 
@@ -57,7 +60,7 @@ def _by_window(
     return rows
 
 
-def _by_slices(rows: DataFrame, name: str, keys: Sequence[str], size: str) -> DataFrame:
+def _by_slices(rows: DataFrame, counts: DataFrame, name: str, keys: Sequence[str], size: str) -> DataFrame:
     """Numbers within a slice, plus the number of rows in the slices before it."""
     place = [*keys, size, "_slice"]
     together = Window.partitionBy(*keys)
@@ -65,8 +68,8 @@ def _by_slices(rows: DataFrame, name: str, keys: Sequence[str], size: str) -> Da
         Window.unboundedPreceding, Window.currentRow
     )
     offsets = (
-        rows.groupBy(*place)
-        .agg(F.count(F.lit(1)).alias("_rows"))
+        counts.groupBy(*place)
+        .agg(F.sum("_rows").alias("_rows"))
         .withColumn("_before", F.sum("_rows").over(upto) - F.col("_rows"))
         .withColumn(f"{name}Count", F.sum("_rows").over(together))
         .drop("_rows")

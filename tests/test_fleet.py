@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import re
 from datetime import date, datetime
 
 from helpers import GEO, as_set
@@ -70,6 +71,15 @@ def test_hot_clients_get_the_same_numbers(spark):
     assert as_set(fleet.numbered(normal, Limits(tests_per_group=20)).select(columns)) == windows
 
 
+def test_slices_of_all_groups_come_from_one_count(spark):
+    """Rows are read for the ordinary and the hot clients and once for the sizes of each group, not twice as often with every group."""
+    normal = fleet.normalise(frame(spark, [raw(f"ndt-a-{i}") for i in range(9)]))
+    numbered = fleet.numbered(normal, Limits(tests_per_group=2)).select("ID", "metroSample")
+    plan = numbered._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"InMemoryTableScan", plan)) <= 5
+    assert sorted(r.metroSample for r in numbered.collect()) == list(range(1, 10))
+
+
 def test_longer_tests_come_first(spark):
     rows = [raw("a", snapshots=0), raw("b", snapshots=3), raw("c", snapshots=3)]
     found = {r.ID: r.machineSample for r in fleet.numbered(fleet.normalise(frame(spark, rows))).collect()}
