@@ -72,6 +72,8 @@ def near_pairs(fps: DataFrame, bucket: int = BUCKET) -> DataFrame:
     it unset), and every hit is verified over all 64 bits. Buckets of more than `bucket` fingerprints
     are divided by the halves of the other segment, where one half again differs in at most one
     bit: every such half is looked up with all its neighbours. No candidate is dropped.
+
+    Spark does not see that unfolding makes many rows of one, so neither lookups nor the table are to be broadcast: these joins are by sort.
     """
     fp, seg = F.col("fp"), F.col("seg")
     table = fps.select("fp", F.explode(F.array(F.lit(0), F.lit(1))).alias("seg")).withColumn("value", _part(seg, fp))
@@ -80,14 +82,15 @@ def near_pairs(fps: DataFrame, bucket: int = BUCKET) -> DataFrame:
         table.select("fp", "seg", F.col("value").alias("own"), F.explode(F.expr("array_append(transform(sequence(0, 31), b -> value | shiftleft(1L, b)), -1L)")).alias("value"))
         .where(F.col("value") != F.col("own"))
         .select(F.col("fp").alias("a"), "seg", F.when(F.col("value") == -1, F.col("own")).otherwise(F.col("value")).alias("value"), (F.col("value") == -1).alias("same"))
+        .hint("merge")
         .join(sizes, ["seg", "value"])
         .where("NOT (same AND n = 1)")
     )
-    light = probes.where(F.col("n") <= bucket).join(table.withColumnRenamed("fp", "b"), ["seg", "value"])
+    light = probes.where(F.col("n") <= bucket).hint("merge").join(table.withColumnRenamed("fp", "b"), ["seg", "value"])
     halves = F.explode(F.array(F.lit(0), F.lit(1))).alias("half")
     rest, half = _part(1 - seg, F.col("b")), F.col("half")
     dense = (
-        table.join(sizes.where(F.col("n") > bucket), ["seg", "value"])
+        table.hint("merge").join(sizes.where(F.col("n") > bucket), ["seg", "value"])
         .select(F.col("fp").alias("b"), "seg", "value", halves)
         .withColumn("fine", _fine(rest, half))
     )
@@ -97,7 +100,7 @@ def near_pairs(fps: DataFrame, bucket: int = BUCKET) -> DataFrame:
         .withColumn("own", _fine(_part(1 - seg, F.col("a")), half))
         .withColumn("fine", F.explode(F.expr("array_append(transform(sequence(0, 15), b -> own ^ shiftleft(1L, b)), own)")))
     )
-    heavy = asked.join(dense, ["seg", "value", "half", "fine"])
+    heavy = asked.hint("merge").join(dense, ["seg", "value", "half", "fine"])
     found = light.select("a", "b", "same").unionByName(heavy.select("a", "b", "same"))
     bits = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
     return found.where(bits.between(1, MAX_BITS) & (~F.col("same") | (F.col("a") < F.col("b")))).select("a", "b")

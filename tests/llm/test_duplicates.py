@@ -75,6 +75,13 @@ def test_near_pairs_miss_none(spark, bucket):
     assert pairs == {frozenset((a, b)) for a in signed for b in signed if a < b and ((a ^ b) & mask).bit_count() <= 3}
 
 
+def test_unfolded_lookups_are_not_broadcast(spark):
+    fps = spark.range(3000).select(F.xxhash64("id").alias("fp")).distinct()
+    pairs = simhash.near_pairs(fps)
+    assert pairs.count() == 0
+    assert "BroadcastExchange" not in pairs._jdf.queryExecution().executedPlan().toString()
+
+
 def test_components_of_chains_and_stars(spark):
     chain = [(i, i + 1) for i in range(40)]
     star = [(100, 100 + i) for i in range(1, 30)]
